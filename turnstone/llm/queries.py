@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup
+from . import near_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *(f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -27,14 +32,18 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: (doc_id, i, w): every word with its position from 1.  Unnesting keeps long
+#: texts linear, which slicing a list inside a lambda would not.
+SQL_POSITIONS = f"""words AS (
+  SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS w FROM (SELECT doc_id, {{0}} AS w FROM documents)
+)"""
+
 OP9_SQL = f"""
-WITH RECURSIVE worded AS (
-  SELECT doc_id, {SQL_WORDS.format(SQL_LOWER.format("text"))} AS w FROM documents
-), sets AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM worded
-), sizes AS (SELECT doc_id, len(s) AS n FROM sets),
-shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+WITH RECURSIVE {SQL_POSITIONS.format(SQL_WORDS.format(SQL_LOWER.format("text")))},
+sized AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n,
+  concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS x FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+shingles AS (SELECT DISTINCT doc_id, x FROM sized WHERE i <= greatest(n - 4, 1)),
+sizes AS (SELECT doc_id, count(x) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
 shared AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
@@ -45,10 +54,66 @@ shared AS (
 SELECT doc_id, n::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least USING (doc_id)
 """
 
+
+def op6_rows(source: str = "documents", tag: str = "") -> str:
+    """Common table expressions that judge *source*; the last is ``judged{tag}``."""
+    rates = quality_rules.SLACK
+    unpivot = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rate, {r} AS v FROM rated{tag} WHERE n_words >= {quality_rules.MIN_WORDS}" for r in rates)
+    slack = "CASE rate " + " ".join(f"WHEN '{r}' THEN {v}" for r, v in rates.items()) + " END"
+    levels = {"leaf": "lang, source", "lang": "lang", "all": "1"}
+    marks, picks, joins = [], [], []
+    for level, keys in levels.items():
+        by = f"{keys}, rate" if level != "all" else "rate"
+        marks.append(f"""counts_{level}{tag} AS (SELECT {by}, bucket, sum(c) AS c FROM leaf{tag} GROUP BY {by}, bucket),
+upto_{level}{tag} AS (SELECT *, sum(c) OVER (PARTITION BY {by} ORDER BY bucket) AS upto, sum(c) OVER (PARTITION BY {by}) AS total FROM counts_{level}{tag}),
+fence_{level}{tag} AS (SELECT {by}, total, q1 - greatest({quality_rules.REACH} * (q3 - q1), {slack}) AS low, q3 + greatest({quality_rules.REACH} * (q3 - q1), {slack}) AS high
+  FROM (SELECT {by}, min(total) AS total, min(bucket) FILTER (WHERE upto * 4 >= total) AS q1, min(bucket) FILTER (WHERE upto * 4 >= total * 3) AS q3 FROM upto_{level}{tag} GROUP BY {by}))""")
+    checks = []
+    for r in rates:
+        for level in levels:
+            on = {"leaf": "{0}.lang IS NOT DISTINCT FROM r.lang AND {0}.source IS NOT DISTINCT FROM r.source AND ", "lang": "{0}.lang IS NOT DISTINCT FROM r.lang AND ", "all": ""}[level].format(f"{r}_{level}")
+            joins.append(f"LEFT JOIN fence_{level}{tag} AS {r}_{level} ON {on}{r}_{level}.rate = '{r}'")
+        def side(x: str, r: str = r) -> str:
+            return f"CASE WHEN {r}_leaf.total >= {quality_rules.MIN_ROWS} THEN {r}_leaf.{x} WHEN {r}_lang.total >= {quality_rules.MIN_ROWS} THEN {r}_lang.{x} ELSE {r}_all.{x} END"
+        checks.append(f"coalesce(r.{r} <= {side('high')}, true)")
+        if r in quality_rules.TWO_SIDED:
+            checks.append(f"coalesce(r.{r} >= {side('low')}, true)")
+    words = SQL_WORDS.format("text")
+    spaces = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""texts{tag} AS (
+  SELECT row_number() OVER () AS row_id, doc_id, lang, source, coalesce(text, '') AS text, {words} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: translate(l, {spaces}, '') <> '') AS lines FROM {source}
+), words{tag} AS (SELECT row_id, generate_subscripts(w, 1) AS i, unnest(w) AS w FROM texts{tag}),
+windows{tag} AS (SELECT *, count(*) OVER (PARTITION BY row_id) AS n, lag(w) OVER o = w AS stutter,
+  concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS x FROM words{tag} WINDOW o AS (PARTITION BY row_id ORDER BY i)),
+found{tag} AS (SELECT *, i <= n - 4 AND count(*) FILTER (WHERE i <= n - 4) OVER (PARTITION BY row_id, x) > 1 AS twice FROM windows{tag}),
+reached{tag} AS (SELECT *, bool_or(twice) OVER (PARTITION BY row_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS inside FROM found{tag}),
+repeats{tag} AS (SELECT row_id, count(*) FILTER (WHERE inside) AS n_repeat_words, count(*) FILTER (WHERE stutter) AS n_stutters FROM reached{tag} GROUP BY row_id),
+counted{tag} AS (SELECT row_id, doc_id, lang, source, len(w)::BIGINT AS n_words, length(translate(text, {spaces}, ''))::BIGINT AS word_chars,
+  (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_stutters, 0)::BIGINT AS n_stutters,
+  (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')))::BIGINT AS n_capitals, len(lines)::BIGINT AS n_lines
+  FROM texts{tag} LEFT JOIN repeats{tag} USING (row_id)
+), rated{tag} AS (SELECT *, coalesce(n_symbols * 1000 // nullif(n_words, 0), 0) AS symbol_rate, coalesce(n_capitals * 1000 // nullif(word_chars, 0), 0) AS capital_rate,
+  coalesce(n_stutters * 1000 // nullif(n_words, 0), 0) AS stutter_rate, coalesce(n_dup_lines * 1000 // nullif(n_lines, 0), 0) AS dup_line_rate,
+  coalesce(word_chars * 100 // nullif(n_words, 0), 0) AS word_length,
+  n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted{tag}
+), leaf{tag} AS (SELECT lang, source, rate, CASE WHEN v < 128 THEN v ELSE (v >> (length(bin(v)) - 7)::INT) << (length(bin(v)) - 7)::INT END AS bucket, count(*) AS c
+  FROM ({unpivot}) GROUP BY ALL),
+{(","+chr(10)).join(marks)},
+judged{tag} AS (SELECT r.*, NOT r.base_failed AND {" AND ".join(checks)} AS kept FROM rated{tag} r {" ".join(joins)})"""
+
+
+OP6_SQL = f"""WITH {op6_rows()}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged
+"""
+
 QUERIES: dict[str, Query] = {
+    "op6_quality_rules": op6_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op6_quality_rules": OP6_SQL,
     "op9_minhash_near_dedup": OP9_SQL,
 }
