@@ -101,6 +101,17 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def evaluated(df: DataFrame, column: str) -> DataFrame:
+    """*df* with *column* computed once, here.
+
+    A filter on an expensive column would otherwise be pushed below it with a
+    copy of its expression, lambdas and all.  Nothing is pushed below a
+    generator's output.
+    """
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.array(column)).alias(column)).select(*df.columns)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that every bit depends on every input bit."""
     x = (x ^ (x >> np.uint64(30))) * _M2

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, Scratch, free_name, split_words
+from .common import SPACES, Scratch, evaluated, free_name, split_words
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -83,7 +83,7 @@ def measured(docs: DataFrame, text_col: str, into: str) -> DataFrame:
         rate("word_chars", "n_words", 100).alias("word_length"),
     ]
     failed = (m("n_words") < MIN_WORDS) | (m("n_repeat_words") * 100 > m("n_words") * MAX_REPEAT_PERCENT)
-    return step.select(*own, F.struct(f"{into}.*", *rates, failed.alias("base_failed")).alias(into))
+    return evaluated(step.select(*own, F.struct(f"{into}.*", *rates, failed.alias("base_failed")).alias(into)), into)
 
 
 def bucket(value: Column) -> Column:

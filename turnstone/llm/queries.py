@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup, quality_rules
+from . import decontaminate, mixing, near_dedup, quality_rules, token_output
+from .common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +21,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Target weights of the mix; names not listed weigh 1.
+MIX_WEIGHTS = {
+    "domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+    "source": {"src0": 3, "src1": 2},
+}
+
+
+def domain_of(source: Column) -> Column:
+    """The domain of a source: its number modulo four."""
+    return F.concat(F.lit("d"), F.coalesce(F.regexp_extract(source, "[0-9]+", 0).try_cast("int"), F.lit(0)) % 4)
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), domain_of(F.col("source")), MIX_WEIGHTS)
+    return mixed.select("doc_id", "lang", "source", "mix.domain", "mix.tokens", "mix.copies")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *(f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
 
 
+def token_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the ids of *docs* with the 49k word vocabulary and read the digest back."""
+    import public_tokenizers
+
+    path = f"{Scratch(spark, 'tokens').path}/tokens"
+    token_output.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_output.read_tokens(spark, path)
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(spark, table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -32,6 +75,36 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _sql_weights(level: str) -> str:
+    return f"CASE {level} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[level].items()) + " ELSE 1 END"
+
+
+def _sql_share(source: str, family: str, name: str) -> str:
+    """Deal each family's budget out among its members, fullest first."""
+    by = f"PARTITION BY {family} " if family else ""
+    return f"""(SELECT *, CASE WHEN filled THEN capacity ELSE (parent_budget - coalesce(sum(capacity) FILTER (WHERE filled) OVER ({by}), 0)) * weight // (sum(weight) FILTER (WHERE NOT filled) OVER ({by})) END AS budget
+  FROM (SELECT *, (parent_budget - coalesce(sum(capacity) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::HUGEINT * weight >= capacity::HUGEINT * sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS filled
+    FROM ({source}) WINDOW o AS ({by}ORDER BY capacity::DOUBLE / weight, {name})))"""
+
+
+OP3_SQL = f"""
+WITH sizes AS (
+  SELECT doc_id, lang AS lang0, source AS source0, 'd' || (coalesce(try_cast(regexp_extract(source, '[0-9]+') AS INT), 0) % 4) AS domain,
+    coalesce(lang, '') AS lang, coalesce(source, '') AS source, len({SQL_WORDS.format("text")})::HUGEINT AS tokens FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(tokens)::HUGEINT AS tokens, (2 * sum(tokens))::HUGEINT AS capacity, {_sql_weights("source")}::HUGEINT AS weight FROM sizes GROUP BY ALL
+), languages AS (SELECT domain, lang, sum(capacity)::HUGEINT AS capacity, {_sql_weights("lang")}::HUGEINT AS weight FROM leaves GROUP BY domain, lang),
+domains AS (SELECT domain, sum(capacity)::HUGEINT AS capacity, {_sql_weights("domain")}::HUGEINT AS weight FROM leaves GROUP BY domain),
+domain_budget AS {_sql_share("SELECT *, (SELECT sum(tokens)::HUGEINT * 600 // 1000 FROM leaves) AS parent_budget FROM domains", "", "domain")},
+lang_budget AS {_sql_share("SELECT l.*, d.budget AS parent_budget FROM languages l JOIN domain_budget d USING (domain)", "domain", "lang")},
+leaf_budget AS {_sql_share("SELECT l.*, b.budget AS parent_budget FROM leaves l JOIN lang_budget b USING (domain, lang)", "domain, lang", "source")},
+ends AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epoch, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest FROM leaf_budget),
+keyed AS (SELECT s.*, epoch, rest, md5('3:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS key FROM sizes s JOIN ends USING (domain, lang, source)),
+placed AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key RANGE UNBOUNDED PRECEDING), 0)
+  - sum(tokens) OVER (PARTITION BY domain, lang, source, key) AS start FROM keyed)
+SELECT doc_id, lang0 AS lang, source0 AS source, domain, tokens::BIGINT AS tokens, (epoch + CASE WHEN rest > 0 AND start < rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM placed
+"""
+
 #: (doc_id, i, w): every word with its position from 1.  Unnesting keeps long
 #: texts linear, which slicing a list inside a lambda would not.
 SQL_POSITIONS = f"""words AS (
@@ -109,11 +182,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_source_mixing": op3_source_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_token_output": op8_token_output,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
+    "op3_source_mixing": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op9_minhash_near_dedup": OP9_SQL,
 }
