@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, near_dedup, quality_rules, token_output
+from . import decontaminate, html_text, mixing, near_dedup, quality_rules, substring_dedup, token_output
 from .common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "lang", "source", "mix.domain", "mix.tokens", "mix.copies")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *(f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
@@ -61,6 +65,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -184,9 +192,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_source_mixing": op3_source_mixing,
+    "op5_html_extraction": op5_html_extraction,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_output": op8_token_output,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
     "pipeline": pipeline,
 }
 
