@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, mixing, near_dedup, quality_rules, substring_dedup, token_output
+from . import decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, token_output
 from .common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,18 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "lang", "source", "mix.domain", "mix.tokens", "mix.copies")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify_quality(table(spark, sf_dir, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_matches(table(spark, sf_dir, "documents"))
+
+
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
@@ -191,9 +203,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_source_mixing": op3_source_mixing,
+    "op4_license_scan": op4_license_scan,
     "op5_html_extraction": op5_html_extraction,
     "op6_quality_rules": op6_quality_rules,
+    "op7_pii_spans": op7_pii_spans,
     "op8_token_output": op8_token_output,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
