@@ -32,17 +32,22 @@ PRECISION = 0.98
 
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
-#: The base patterns.  A leading group saves quadratic scans of
-#: long runs: a match starts where its run does, or where the last match ended.
+#: The base patterns, written for a matcher that recurses into repeated groups:
+#: runs are character classes alone.  ``_PREPARE`` first replaces the characters
+#: that end such a run by others.  A leading group saves quadratic scans of long
+#: runs: a match starts where its run does, or where the last match ended.
 PATTERNS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?:(?<![A-Za-z0-9._%+\x04-])|\G)[A-Za-z0-9._%+\x04-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9-]",
     "ip": r"(?:(?<![0-9])|\G)[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
-    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "card": r"[0-9][0-9\x20-]*[0-9]",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?i)(?:(?<=(?:token|key|secret|password|passwd|pwd|bearer|auth)[\"']{0,1}\x20{0,1}[:=]\x20{0,1}[\"']{0,1})[^\s\"',;]{6,200}|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])[A-Za-z0-9+/_=-]{16,200}(?![A-Za-z0-9+/_=-]))",
     "number": r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().\-/]{0,2}[0-9]){5,40}(?![0-9A-Za-z])",
     "address": r"(?i)(?<![a-z0-9._-])[a-z0-9._-]{1,64}\x20?[\[(]?(?:\x20at\x20|@|\(at\)|\[at\])[\])]?\x20?[a-z0-9-]{1,64}\x20?[\[(]?(?:\x20dot\x20|\(dot\)|\[dot\])[\])]?\x20?[a-z]{2,12}",
 }
+#: Dots next to a dot may stand in an address's name, not in its host; a card's
+#: separators stand alone.  Replacements keep every position.
+_PREPARE = {"email": (r"\.(?=\.)|(?<=\.)\.", "\u0004"), "card": (r"[\x20-](?=[\x20-])|(?<=[\x20-])[\x20-]", "\u0003")}
 #: Cheap tests that a text must pass before its pattern is tried.
 GATES = {
     "email": lambda t: F.contains(t, F.lit("@")),
@@ -57,7 +62,8 @@ GATES = {
 
 def _parts(text: Column, kind: str) -> Column:
     """The text split at the pattern's matches: odd elements are matches."""
-    marked = F.regexp_replace(text, PATTERNS[kind], f"{_OPEN}$0{_CLOSE}")
+    ready = F.regexp_replace(text, *_PREPARE[kind]) if kind in _PREPARE else text
+    marked = F.regexp_replace(ready, PATTERNS[kind], f"{_OPEN}$0{_CLOSE}")
     return F.when(GATES[kind](text), F.split(marked, f"[{_OPEN}{_CLOSE}]"))
 
 
@@ -156,7 +162,7 @@ def _with_spans(docs: DataFrame, text_col: str, kinds: tuple[str, ...], into: st
     """Add the struct *into* with an array of spans for each of *kinds*."""
     clean = free_name(docs, "_clean")
     parts = [free_name(docs, f"_parts_{k}") for k in kinds]
-    out = docs.withColumn(clean, F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _OPEN + _CLOSE, "\u0003\u0003"))
+    out = docs.withColumn(clean, F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _OPEN + _CLOSE + "\u0004", "\u0003" * 3))
     out = out.select("*", *(_parts(F.col(clean), k).alias(p) for k, p in zip(kinds, parts, strict=True)))
     empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
     fields = [F.coalesce(_spans(F.col(p), ACCEPT[k]), empty).alias(k) for k, p in zip(kinds, parts, strict=True)]
