@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, Scratch, evaluated, free_name, split_words
+from .common import Scratch, evaluated, free_name, split_words
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -33,45 +33,42 @@ REACH = 3
 MIN_ROWS = 100
 
 
-def _drop(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
-def measured(docs: DataFrame, text_col: str, into: str) -> DataFrame:
+def measured(docs: DataFrame, text_col: str, into: str, repeats: bool = True) -> DataFrame:
     """*docs* with the struct column *into*: counts, rates and the base verdict.
 
+    ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` are longs,
+    zero for null and empty texts.  Without *repeats*, the rates alone:
+    ``n_repeat_words`` and ``base_failed``, which no fence needs, are left out.
+
     Windows are sorted by hash, those equal to a neighbour are sorted by
     position, and each covers what the next one leaves: n log n for any text.
-
-    ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` are longs,
-    zero for null and empty texts.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     w, lines, hashes, starts = (free_name(docs, n) for n in ("_words", "_lines", "_hashes", "_starts"))
     own = docs.columns
-    step = docs.select("*", split_words(text).alias(w), F.filter(F.split(text, "\n"), lambda x: _drop(x, SPACES) != "").alias(lines))
+    step = docs.select("*", split_words(text).alias(w), F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias(lines))
     n = F.size(w)
-    window_hash = lambda x, i: F.xxhash64(*(F.get(F.col(w), i + j) for j in range(WINDOW)))
-    step = step.withColumn(hashes, F.when(n >= WINDOW, F.transform(F.slice(w, F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(0))), window_hash)))
-    repeated = F.size(F.array_distinct(hashes)) < F.size(hashes)
-    ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    step = step.withColumn(hashes, F.when(repeated, ordered))
-    at = lambda i: F.get(F.col(hashes), i)["h"]
-    twin = lambda x, i: F.coalesce(F.when(i > 0, at(i - 1) == x["h"]), F.lit(False)) | F.coalesce(at(i + 1) == x["h"], F.lit(False))
-    step = step.withColumn(starts, F.array_sort(F.transform(F.filter(hashes, twin), lambda x: x["i"])))
-    covered = F.aggregate(F.transform(starts, lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col(starts), i + 1) - p, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
-
-    word_chars = F.length(_drop(text, SPACES))
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("long")
     counts = [
         n.cast("long").alias("n_words"),
-        word_chars.cast("long").alias("word_chars"),
-        (F.length(text) - F.length(_drop(text, "#*$%&|<>"))).cast("long").alias("n_symbols"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        count("[#*$%&|<>]").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size(F.filter(w, lambda x, i: (i > 0) & (x == F.get(F.col(w), i - 1)))).cast("long").alias("n_stutters"),
-        (F.length(text) - F.length(_drop(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))).cast("long").alias("n_capitals"),
+        F.size(F.filter(w, lambda x, i: (x == F.get(F.col(w), i - 1)) & (i > 0))).cast("long").alias("n_stutters"),
+        count("[A-Z]").alias("n_capitals"),
         F.size(lines).cast("long").alias("n_lines"),
     ]
+    if repeats:
+        window_hash = lambda x, i: F.xxhash64(x, *(F.get(F.col(w), i + j) for j in range(1, WINDOW)))
+        step = step.withColumn(hashes, F.when(n >= WINDOW, F.transform(F.slice(w, F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(0))), window_hash)))
+        repeated = F.size(F.array_distinct(hashes)) < F.size(hashes)
+        ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        step = step.withColumn(hashes, F.when(repeated, ordered))
+        at = lambda i: F.get(F.col(hashes), i)["h"]
+        twin = lambda x, i: F.coalesce(F.when(i > 0, at(i - 1) == x["h"]), F.lit(False)) | F.coalesce(at(i + 1) == x["h"], F.lit(False))
+        step = step.withColumn(starts, F.array_sort(F.transform(F.filter(hashes, twin), lambda x: x["i"])))
+        covered = F.aggregate(F.transform(starts, lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col(starts), i + 1) - p, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
+        counts.append(F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
     step = step.select(*own, F.struct(*counts).alias(into))
     m = lambda name: F.col(f"{into}.{name}")
     rate = lambda part, whole, unit: F.when(m(whole) > 0, F.expr(f"({into}.{part} * {unit}) div {into}.{whole}")).otherwise(F.lit(0).cast("long"))
@@ -82,8 +79,10 @@ def measured(docs: DataFrame, text_col: str, into: str) -> DataFrame:
         rate("n_dup_lines", "n_lines", 1000).alias("dup_line_rate"),
         rate("word_chars", "n_words", 100).alias("word_length"),
     ]
-    failed = (m("n_words") < MIN_WORDS) | (m("n_repeat_words") * 100 > m("n_words") * MAX_REPEAT_PERCENT)
-    return evaluated(step.select(*own, F.struct(f"{into}.*", *rates, failed.alias("base_failed")).alias(into)), into)
+    if repeats:
+        failed = (m("n_words") < MIN_WORDS) | (m("n_repeat_words") * 100 > m("n_words") * MAX_REPEAT_PERCENT)
+        rates.append(failed.alias("base_failed"))
+    return evaluated(step.select(*own, F.struct(f"{into}.*", *rates).alias(into)), into)
 
 
 def bucket(value: Column) -> Column:
@@ -92,7 +91,7 @@ def bucket(value: Column) -> Column:
     return F.when(value < 128, value).otherwise(F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift))
 
 
-def fences(rated: DataFrame, lang: str, source: str, min_rows: int = MIN_ROWS, reach: int = REACH) -> DataFrame:
+def fences(rated: DataFrame, lang: str, source: str, scratch: Scratch, min_rows: int = MIN_ROWS, reach: int = REACH) -> DataFrame:
     """One row per (lang, source) with ``<rate>_low`` and ``<rate>_high``.
 
     *rated* has the two key columns, ``n_words`` and the rates; texts of fewer
@@ -101,9 +100,9 @@ def fences(rated: DataFrame, lang: str, source: str, min_rows: int = MIN_ROWS, r
     """
     parts = F.array(*(F.struct(F.lit(name).alias("rate"), bucket(F.col(name)).alias("bucket")) for name in SLACK))
     exploded = rated.where(F.col("n_words") >= MIN_WORDS).select(lang, source, F.explode(parts).alias("p"))
-    leaf = exploded.groupBy(lang, source, F.col("p.rate").alias("rate"), F.col("p.bucket").alias("bucket")).agg(F.count("*").alias("rows"))
+    leaf = scratch.keep(exploded.groupBy(lang, source, F.col("p.rate").alias("rate"), F.col("p.bucket").alias("bucket")).agg(F.count("*").alias("rows")), "sketches")
     levels = {"leaf": [lang, source], "lang": [lang], "all": []}
-    out = rated.select(lang, source).distinct()
+    out = leaf.select(lang, source).distinct()
     for level, keys in levels.items():
         counts = leaf.groupBy(*keys, "rate", "bucket").agg(F.sum("rows").alias("rows"))
         span = Window.partitionBy(*keys, "rate")
@@ -151,7 +150,7 @@ def quality_rules(
     kept.  Repeated rows are judged alike.  An empty table gives an empty one.
     A column already called *into* makes the new one ``_into``.
 
-    Texts are measured twice, once for the sketches and once for the verdict,
+    Texts are read twice, once for the sketches' rates and once for the verdict,
     so that they are never shuffled or stored.  The fence table has a row per
     group; it is broadcast up to *broadcast_rows* groups and joined by a
     splittable shuffle beyond.
@@ -160,9 +159,10 @@ def quality_rules(
     scratch = Scratch(spark, "quality")
     into = free_name(docs, into)
     key = lambda c: F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(c).cast("string")))
+    narrow = docs.select(key(lang_col).alias("lang_key"), key(source_col).alias("source_key"), F.col(text_col).alias("text"))
+    rated = measured(narrow, "text", "m", repeats=False).select("lang_key", "source_key", "m.*")
+    limits = scratch.keep(fences(rated, "lang_key", "source_key", scratch, min_rows, reach), "fences")
     rows = measured(docs, text_col, into)
-    rated = rows.select(key(lang_col).alias("lang_key"), key(source_col).alias("source_key"), f"{into}.*")
-    limits = scratch.keep(fences(rated, "lang_key", "source_key", min_rows, reach), "fences")
     few = limits.count() <= broadcast_rows
 
     lk, sk, fence = (free_name(docs, n) for n in ("_lang_key", "_source_key", "_fence"))
