@@ -10,6 +10,8 @@ rejects most of the wrong ones, and full sets confirm each link.
   component ("strays") are then compared with the other members of their
   bucket, so no link between two components is lost.  Only pairs that pass
   the bitmap test leave that join, once each, in their first shared band.
+  Two rounds confirm each stray's best pair, the last all that remain between
+  components.
 * The number of bands makes a pair at the threshold miss every band with a
   probability of at most ``miss``.
 """
@@ -200,10 +202,13 @@ def near_duplicates(
     links = scratch.keep(_confirmed(star, pool, shingle, percent), "star")
     found = scratch.keep(connected_components(links, scratch), "found")
 
-    strays = scratch.keep(_stray_pairs(members, classes, found, percent, bands, scratch), "strays")
-    more = _confirmed(strays, pool, shingle, percent)
-    settled = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    found = scratch.keep(connected_components(settled.unionByName(more), scratch), "settled")
+    for best_only in (True, True, False):
+        strays = _stray_pairs(members, classes, found, percent, bands, scratch, best_only)
+        if strays is None:
+            break
+        more = scratch.keep(_confirmed(scratch.keep(strays, "strays"), pool, shingle, percent), "more")
+        settled = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = scratch.keep(connected_components(settled.unionByName(more), scratch), "settled")
 
     groups = classes.select(*prints, F.col("class").alias("node")).join(found, "node", "left")
     groups = scratch.keep(groups.select(*prints, F.coalesce("component", "node").alias("group")), "groups")
@@ -230,8 +235,12 @@ def _confirmed(pairs: DataFrame, pool: DataFrame, shingle: int, percent: int) ->
     return both.mapInArrow(_verifier(shingle, percent), "a bigint, b bigint")
 
 
-def _stray_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, percent: int, bands: int, scratch: Scratch) -> DataFrame:
-    """Pairs of one bucket and two components that the star has not compared.
+def _stray_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, percent: int, bands: int, scratch: Scratch, best_only: bool) -> DataFrame | None:
+    """Pairs of one bucket and two components that the star has not compared; None if no bucket has two.
+
+    With *best_only*, each stray's most promising partner alone: confirming
+    those first joins most components, and leaves few pairs for the round
+    that takes all.
 
     Both lie in a bucket whose members fall into several components, and one
     of them, the stray, is not in the component of the bucket's least class.
@@ -242,6 +251,8 @@ def _stray_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, perce
     labelled = scratch.keep(labelled, "labelled")
     split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "class").alias("main"))
     split = scratch.keep(split.where("low <> high").select("key", "main"), "split")
+    if split.isEmpty():
+        return None
     keyed = labelled.join(split, "key").join(classes.select("class", "n", "bits", "band_keys"), "class")
     keyed = scratch.keep(keyed.withColumn("stray", F.col("component") != F.col("main")), "open")
 
@@ -259,4 +270,7 @@ def _stray_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, perce
         & _may_link(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b"), percent)
         & ~earlier,
     )
+    if best_only:
+        apart = _differing(F.col("bits_a"), F.col("bits_b")) / (F.col("n_a") + F.col("n_b"))
+        pairs = pairs.groupBy("class_a").agg(F.min(F.struct(apart.alias("apart"), "class_b")).alias("best")).select("class_a", F.col("best.class_b").alias("class_b"))
     return pairs.select(F.greatest("class_a", "class_b").alias("a"), F.least("class_a", "class_b").alias("b")).distinct()
