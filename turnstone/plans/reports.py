@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from turnstone.functions.columns import count_if, deterministic_id, iso_week, squeeze, word_count
-from turnstone.operators import vectors
+from turnstone.operators import enrich, vectors
 from turnstone.operators.windows import last_known, running_clock, top_n
 
 from .cubes import _regional, read, registrar, theme_by_week
@@ -209,6 +209,20 @@ def llm_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "theme", (F.col("i") + 1).cast("long").alias("rank"))
 
 
+@report("""SELECT conv_id, conv_id || chr(10) || substr(string_agg(text, ' ' ORDER BY turn) FILTER (trim(text) <> ''), 1, 1500) AS document FROM conversations GROUP BY conv_id HAVING count(*) FILTER (trim(text) <> '') > 0""")
+def theme_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text by which each subject is classified."""
+    turns = read(spark, sf_dir, "conversations").withColumn("name", F.col("conv_id"))
+    return enrich.theme_documents(turns, "conv_id", "name", "turn", "text")
+
+
+@report(None)
+def embed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vector for each turn, by the deterministic embedder."""
+    turns = read(spark, sf_dir, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("text_id"), "text")
+    return enrich.embed_texts(turns, enrich.hashing_embedder(), "text_id", "text")
+
+
 @report(r"""SELECT doc_id, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS clean_md5, CASE WHEN trim(text) = '' THEN 0 ELSE len(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ')) END::BIGINT AS words FROM documents""")
 def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(squeeze(F.col("text"))).alias("clean_md5"), word_count(F.col("text")).cast("long").alias("words"))
