@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from turnstone.functions.columns import count_if, deterministic_id, iso_week, squeeze, word_count
 from turnstone.operators import enrich, vectors
 from turnstone.operators.windows import last_known, running_clock, top_n
+from turnstone.sources import register
 
 from .cubes import _regional, read, registrar, theme_by_week
 
@@ -282,6 +283,14 @@ def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), links.alias("links"))
 
 
+@report("""WITH r AS (SELECT c_custkey % 700 AS source_id, c_name AS display_name, c_acctbal > 0 AS is_current, c_custkey AS seen FROM customer)
+SELECT source_id, display_name, is_current FROM r QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY is_current DESC, seen DESC) = 1""")
+def member_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per member: the current one wins over former ones, then the latest."""
+    rows = read(spark, sf_dir, "customer").select((F.col("c_custkey") % 700).alias("source_id"), F.col("c_name").alias("display_name"), (F.col("c_acctbal") > 0).alias("is_current"), F.col("c_custkey").alias("seen"))
+    return register.preferred(rows, ["source_id"], "seen").select("source_id", "display_name", "is_current")
+
+
 @report("SELECT r_name, count(*) AS nations FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
 def sql_tool(spark: SparkSession, sf_dir: str) -> DataFrame:
     from turnstone.sources.sqltool import read_only
