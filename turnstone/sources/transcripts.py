@@ -283,10 +283,10 @@ def _plain(value: object) -> object:
 def parse_day(files: pd.DataFrame) -> pd.DataFrame:
     """Tagged rows (table, body as JSON) of one house's day; unreadable files are skipped."""
     from .federal import FederalDay
+    from .fragments import FragmentDay
 
     first = files.iloc[0]
-    kind = FederalDay if first.jurisdiction == "au" else Day
-    day = kind(first.jurisdiction, str(first.date), first.house_code)
+    day = {"au": FederalDay, "nsw": FragmentDay}.get(first.jurisdiction, Day)(first.jurisdiction, str(first.date), first.house_code)
     meta: dict = {}
     for row in files.sort_values("name").itertuples():
         if row.name == "meta.json":
