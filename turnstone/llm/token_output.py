@@ -26,6 +26,7 @@ protocol and reaches any store that Spark reaches.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -54,13 +55,18 @@ LEVEL = 3
 class Encoder:
     """Serialised ids of texts, without special tokens, then the end id.
 
-    The tokenizer never joins what white space parts, so texts are cut at
-    spaces and line ends and the ids of each piece are remembered, up to a
-    bounded number of pieces.  Other white space stays inside pieces.
+    The tokenizer joins nothing over white space, nor a letter with the mark
+    after it, so texts are cut there and the ids of each piece are remembered.
+    Unknown pieces of many texts are encoded in one call, between marks whose
+    ids are known.  Other white space stays inside pieces.  Two generations of
+    pieces are kept: the older one goes when the newer one is full.
     """
 
-    LIMIT = 400_000
+    LIMIT = 350_000
     LONGEST = 64
+    #: A control character: as a piece of its own it has fixed ids.
+    MARK = "\x01"
+    EDGE = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=[ \n]|\Z)")
 
     def __init__(self, path: str, end_id: int = END_ID):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -69,31 +75,62 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(4, "little")
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.mark = self.ids(self.MARK)
 
     def ids(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def pieces(self, text: str) -> list[str]:
+        if text.isascii() and "<|" not in text:
+            text = text.lower()
+        return self.EDGE.sub(r" \1", text).replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
+
+    def learn(self, wanted: set[str]) -> None:
+        """Remember the ids of *wanted* pieces."""
+        if len(self.known) > self.LIMIT:
+            self.older, self.known = self.known, {"": b""}
+        fresh = []
+        for piece in wanted:
+            found = self.older.get(piece)
+            if found is not None:
+                self.known[piece] = found
+            elif len(piece) > self.LONGEST or self.MARK in piece or "<|" in piece:
+                self.known[piece] = self.ids(piece)
+            else:
+                fresh.append(piece)
+        if fresh:
+            all_ids = self.ids(f" {self.MARK} ".join(fresh))
+            parts = _split_aligned(all_ids, self.mark)
+            if len(parts) != len(fresh):
+                parts = [self.ids(p) for p in fresh]
+            self.known.update(zip(fresh, parts, strict=True))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        cut = [self.pieces(t) if t else [] for t in texts]
+        known = self.known
+        self.learn({p for pieces in cut for p in pieces if p not in known})
+        get = self.known.__getitem__
+        if self.known is not known:  # a new generation: fetch what only the older one has
+            self.learn({p for pieces in cut for p in pieces if p not in self.known})
+        return [b"".join(map(get, pieces)) + self.end for pieces in cut]
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        pieces = text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces)) + self.end
-        except KeyError:
-            pass
-        if len(known) + len(pieces) > self.LIMIT:
-            known.clear()
-            known[""] = b""
-        out = []
-        for piece in pieces:
-            found = known.get(piece)
-            if found is None:
-                found = self.ids(piece)
-                if len(piece) <= self.LONGEST:
-                    known[piece] = found
-            out.append(found)
-        return b"".join(out) + self.end
+        return self.encode_all([text])[0]
+
+
+def _split_aligned(data: bytes, mark: bytes) -> list[bytes]:
+    """Split serialised ids at a run of ids, on id boundaries only."""
+    out, start, at = [], 0, data.find(mark)
+    while at >= 0:
+        if at % 4:
+            at = data.find(mark, at + 1)
+            continue
+        out.append(data[start:at])
+        start = at + len(mark)
+        at = data.find(mark, start)
+    out.append(data[start:])
+    return out
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -179,8 +216,7 @@ def _shard_writer(path: str, end_id: int, dictionary: bytes, shard_bytes: int, s
         for batch in batches:
             for start, end in slices(batch.num_rows, 256):
                 piece = batch.slice(start, end - start)
-                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
-                    raw = encoder.encode(text)
+                for doc, raw in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1).to_pylist()), strict=True):
                     frame = writer.compress(raw)
                     ids.append(doc)
                     frames.append(frame)
@@ -233,7 +269,7 @@ def write_tokens(
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, end_id)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([encoder.encode(t)[: 16 << 10] for t in batch.column(1).to_pylist()], pa.binary())], names=["piece"])
+            yield pa.RecordBatch.from_arrays([pa.array([raw[: 16 << 10] for raw in encoder.encode_all(batch.column(1).to_pylist())], pa.binary())], names=["piece"])
 
     dictionary = train_dictionary([bytes(r.piece) for r in sample.mapInArrow(serialise, names).collect()], dictionary_bytes)
     spark.createDataFrame([(bytearray(dictionary), f"{dictionary_hash(dictionary):016x}")], "dictionary binary, hash string").write.mode("overwrite").parquet(f"{path}/dictionary")
