@@ -119,6 +119,16 @@ class Encoder:
         return self.encode_all([text])[0]
 
 
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder_for(path: str, end_id: int) -> Encoder:
+    """The encoder of this process: a worker's later tasks find the pieces that its first ones learnt."""
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = Encoder(path, end_id)
+    return _encoders[path, end_id]
+
+
 def _split_aligned(data: bytes, mark: bytes) -> list[bytes]:
     """Split serialised ids at a run of ids, on id boundaries only."""
     out, start, at = [], 0, data.find(mark)
@@ -197,7 +207,7 @@ _SHARDS = "part int, seq int, first bigint, n_docs bigint, n_tokens bigint, payl
 
 def _shard_writer(path: str, end_id: int, dictionary: bytes, shard_bytes: int, shard_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, end_id)
+        encoder = encoder_for(path, end_id)
         writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_checksum=False)
         part, seq, first = TaskContext.get().partitionId(), 0, 0
         ids: list[int | None] = []
@@ -267,7 +277,7 @@ def write_tokens(
     names = "piece binary"
 
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id)
+        encoder = encoder_for(tokenizer, end_id)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([raw[: 16 << 10] for raw in encoder.encode_all(batch.column(1).to_pylist())], pa.binary())], names=["piece"])
 
