@@ -137,6 +137,14 @@ class Features(dict):
         return np.concatenate([[1, 2, 3], bins]), np.sqrt(np.concatenate([[1.0, twice / n, again], counts / n]))
 
 
+_known = Features()
+
+
+def known_features() -> Features:
+    """The features of this process: a worker's later tasks find the words that its first ones saw."""
+    return _known
+
+
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
     """Weights of a logistic model on soft labels, by full gradient steps from zero."""
     weights = np.zeros(BINS)
@@ -165,7 +173,7 @@ def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = Features()
+    known = known_features()
     for batch in batches:
         texts = batch.column(1).to_pylist()
         words = [_words(t) for t in texts]
@@ -200,7 +208,7 @@ def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     weights = fit_scorer([(np.array(r.bins), np.array(r["values"])) for r in sample], np.array([posterior[r.pattern] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Features()
+        known = known_features()
         for batch in batches:
             for a, b in slices(batch.num_rows, 512):
                 piece = batch.slice(a, b - a)
