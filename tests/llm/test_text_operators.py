@@ -106,6 +106,31 @@ def test_repeats_and_cut(spark, docs, empty):
     assert substring_dedup.repeated_spans(docs).where("doc_id = 7").count() >= 1
 
 
+def test_every_long_passage_is_found(spark):
+    """Each word of a window of 51 words that an earlier place has, by a dictionary of all windows."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    extra = " ".join(f"r{i}" for i in range(51))
+    rows = [(10**6, f"zero one {extra} two"), (10**6 + 1, f"three {extra} four"), (10**6 + 2, f"{extra}"), (10**6 + 3, " ".join(extra.split()[20:46]))]
+    docs = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    seen, want = set(), {}
+    for r in docs.orderBy("doc_id").collect():
+        at = [m.span() for m in SPLIT.finditer(r.text or "")]
+        w = [r.text[a:b].lower() for a, b in at]
+        inside = set()
+        for i in range(len(w) - 50):
+            key = hash(tuple(w[i : i + 51]))
+            if key in seen:
+                inside.update(range(i, i + 51))
+            seen.add(key)
+        want[r.doc_id] = {at[i] for i in inside}
+    spans = collections.defaultdict(list)
+    for r in substring_dedup.repeated_spans(docs).collect():
+        spans[r.doc_id].append((r.start, r.stop))
+    missed = {d: sum(not any(s <= a and b <= e for s, e in spans[d]) for a, b in words) for d, words in want.items()}
+    assert sum(map(len, want.values())) > 5000 and not {d: n for d, n in missed.items() if n}
+    assert all(a[1] < b[0] for x in spans.values() for a, b in zip(sorted(x), sorted(x)[1:], strict=False))
+
+
 def test_licenses(spark, empty):
     words = " ".join(f"q{i}" for i in range(30))
     rows = [(1, f"{words}\nLicensed under the Apache License, Version 2.0.\n{words}"), (2, words), (3, None), (4, "Released under the MIT License."), (5, "under the MIT"), (None, "Released under the MIT License.")]

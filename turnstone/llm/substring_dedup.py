@@ -1,4 +1,4 @@
-"""Repeated passages by hashing lines and parts of long lines (operator 10).
+"""Repeated passages by hashing lines, parts of long lines and word windows (operator 10).
 
 A text's units are its lines, cut further after words that end a sentence and
 after one word in CUT_ODDS by hash.  Cuts depend on two words alone, so a
@@ -7,6 +7,13 @@ inside another.  Units are normalised (case, white space), digests are grouped
 over all documents, and the earliest occurrence of each is kept.  Runs of
 repeated units with at least ``min_words`` words are removed; shorter ones
 stay, so common short phrases don't count.
+
+Units cut by a passage's edges never match.  So windows of GRAM words are
+hashed too, and of every GRAM windows in a row the least is chosen: two texts
+that share PASSAGE words share a chosen window.  Where repeated chosen windows stop
+covering the words beside them, every window on that side of them is compared,
+in all their occurrences, so that the passage is found from its first word to
+its last, against whichever earlier text has it.
 """
 
 from __future__ import annotations
@@ -17,13 +24,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, mix, slices
 
 CUT_ODDS = 32
 MIN_WORDS = 25
+GRAM = 26
+#: Words of the shortest passage that is always found whole.
+PASSAGE = 2 * GRAM - 1
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _M1 = np.uint64(0x9E3779B97F4A7C15)
@@ -44,13 +54,54 @@ class _Words(dict):
         return value
 
 
-def units(text: str | None, words: _Words) -> tuple[np.ndarray, ...]:
-    """(digest, start, end, n_words) of each unit, offsets in code points."""
+def _word_hashes(text: str | None, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) and hash of each word."""
     spans = [m.span() for m in _WORD.finditer(text)] if text else []
-    if not spans:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
-    at = np.array(spans, np.int64)
-    h = np.fromiter((words[text[a:b]] for a, b in spans), np.uint64, len(spans))
+    return np.array(spans, np.int64).reshape(-1, 2), np.fromiter((words[text[a:b]] for a, b in spans), np.uint64, len(spans))
+
+
+def grams(h: np.ndarray) -> np.ndarray:
+    """The digest of the GRAM words from each word on."""
+    powers, size = {1: mix((h >> np.uint64(2)) + _M1)}, 1
+    while 2 * size <= GRAM:
+        x = powers[size]
+        powers[2 * size] = mix(x[: max(len(x) - size, 0)] * _M1 + x[size:])
+        size *= 2
+    n, value, done = max(len(h) - (GRAM - 1), 0), np.uint64(GRAM), 0
+    for size in sorted(powers, reverse=True):
+        if GRAM & size:
+            value = mix(value * _M1 + powers[size][done : done + n])
+            done += size
+    return value
+
+
+def _slide(least: np.ufunc, x: np.ndarray) -> np.ndarray:
+    """The least or largest of every GRAM values in a row."""
+    n, size = len(x) - (GRAM - 1), 1
+    while 2 * size <= GRAM:
+        x, size = least(x[:-size], x[size:]), 2 * size
+    return least(x[:n], x[GRAM - size :])
+
+
+def chosen(g: np.ndarray) -> np.ndarray:
+    """Places of the windows that are the least of some GRAM in a row."""
+    if len(g) < GRAM:
+        return np.zeros(0, np.int64)
+    edge = np.zeros(GRAM - 1, np.uint64)
+    return np.flatnonzero(_slide(np.maximum, np.concatenate([edge, _slide(np.minimum, g), edge])) == g)
+
+
+def units(text: str | None, words: _Words) -> tuple[np.ndarray, ...]:
+    """(digest, number, start, end, first word, n_words) of each unit and chosen window.
+
+    Offsets are in code points.  A window's number is the complement of its
+    first word's.
+    """
+    at, h = _word_hashes(text, words)
+    if not len(h):
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    g = grams(h)
+    picked = chosen(g)
     stops = (h & np.uint64(1)).astype(bool)
     ends = (h & np.uint64(2)).astype(bool)
     ends |= stops & ~np.concatenate([[False], stops[:-1]])  # where every word has a full stop, none ends a sentence
@@ -63,10 +114,32 @@ def units(text: str | None, words: _Words) -> tuple[np.ndarray, ...]:
     place = np.arange(len(h)) - np.repeat(first, last - first + 1)
     value = mix((h >> np.uint64(2)) + (place.astype(np.uint64) + np.uint64(1)) * _M1)
     digest = mix(np.add.reduceat(value, first) + (last - first + 1).astype(np.uint64))
-    return digest.view(np.int64), at[first, 0], at[last, 1], last - first + 1
+    n_words = last - first + 1
+    own = digest.view(np.int64), np.arange(len(first)), at[first, 0], at[last, 1], first, n_words
+    return tuple(np.concatenate(x) for x in zip(own, (g[picked].view(np.int64), ~picked, at[picked, 0], at[picked + (GRAM - 1), 1], picked, np.full(len(picked), GRAM)), strict=True))
+
+
+def near(text: str | None, left: list[int], right: list[int], words: _Words) -> tuple[np.ndarray, ...]:
+    """(digest, start, end, first word) of the windows less than GRAM words left or right of places."""
+    at, h = _word_hashes(text, words)
+    g = grams(h)
+    step = np.zeros(len(g) + 1, np.int64)
+    for places, before, after in ((left, GRAM - 1, 0), (right, 0, GRAM - 1)):
+        p = np.array([x for x in places if x < len(g)], np.int64)
+        np.add.at(step, np.maximum(p - before, 0), 1)
+        np.add.at(step, np.minimum(p + after + 1, len(g)), -1)
+    k = np.flatnonzero(np.cumsum(step)[:-1] > 0)
+    return g[k].view(np.int64), at[k, 0], at[k + (GRAM - 1), 1], k
 
 
-_UNITS = "doc bigint, no int, digest bigint, start int, stop int, words int"
+_UNITS = "doc bigint, digest bigint, no int, start int, stop int, word int, words int"
+_GRAMS = "doc bigint, digest bigint, start int, stop int, word int"
+
+
+def _batch_of(docs: np.ndarray, found: list[tuple[np.ndarray, ...]], names: str) -> pa.RecordBatch:
+    columns = [np.concatenate(x) for x in zip(*found, strict=True)]
+    doc = np.repeat(docs, [len(x[0]) for x in found])
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(columns[0], pa.int64()), *(pa.array(x.astype(np.int32)) for x in columns[1:])], names=[x.split()[0] for x in names.split(", ")])
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,42 +148,82 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.num_rows, 256):
                 piece = batch.slice(a, b - a)
-                found = [units(t, words) for t in piece.column(1).to_pylist()]
-                counts = [len(x[0]) for x in found]
-                docs = np.repeat(piece.column(0).to_numpy(zero_copy_only=False), counts)
-                numbers = np.concatenate([np.arange(c, dtype=np.int32) for c in counts] or [np.zeros(0, np.int32)])
-                digest, start, stop, n = (np.concatenate([x[i] for x in found] or [np.zeros(0, np.int64)]) for i in range(4))
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(numbers), pa.array(digest), *(pa.array(x.astype(np.int32)) for x in (start, stop, n))], names=["doc", "no", "digest", "start", "stop", "words"])
+                docs = piece.column(0).to_numpy(zero_copy_only=False)
+                yield _batch_of(docs, [units(t, words) for t in piece.column(1).to_pylist()], _UNITS)
+
+
+def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = _Words()
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for a, b in slices(batch.num_rows, 64):
+                piece = batch.slice(a, b - a)
+                docs = piece.column(0).to_numpy(zero_copy_only=False)
+                yield _batch_of(docs, [near(*row, words) for row in zip(*(piece.column(i).to_pylist() for i in (1, 2, 3)), strict=True)], _GRAMS)
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, broadcast_rows: int = 500_000) -> DataFrame:
     """One row per removed run: *id_col*, ``start``, ``stop``, ``n_words``, ``n_units``, ``first_doc_id``.
 
     Offsets are code points of the original text, end exclusive.  Occurrences
     are ranked by document id and place; the first of each unit stays.
-    ``first_doc_id`` is the least id that keeps a unit of the run, which may be
-    the document itself.  Null, empty and blank texts have no units.  Rows
+    ``first_doc_id`` is the least id that keeps a unit or window of the run,
+    which may be the document itself; ``n_units`` counts both.  Every word of a
+    passage of PASSAGE words or more that an earlier place has is in a run.  Null, empty and blank texts have no units.  Rows
     sharing an id are one document: their equal places tie and are kept alike.
     Rows with a null id are ignored.  An empty table gives an empty result and
     other columns don't matter.
 
     Digests have 64 bits.  A digest's rows are combined before the shuffle;
     the join that brings the result back to the units is one that adaptive
-    execution splits where a line is very common.
+    execution splits where a line is very common.  The ids of documents whose
+    windows are compared are broadcast up to *broadcast_rows* and shuffled beyond.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body")).where("doc is not null")
     every = scratch.keep(source.mapInArrow(_unit_rows, _UNITS), "units")
-    place = F.struct("doc", "no")
-    known = every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
-    known = scratch.keep(known.select("digest", F.col("first.doc").alias("first_doc"), F.col("first.no").alias("first_no")), "known")
-    again = every.join(known, "digest").where("doc <> first_doc or no <> first_no")
-    listed = again.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("no", "start", "stop", "words", "first_doc"))).alias("units"))
-    # A run begins at a unit whose predecessor isn't there; its number stays "no - index".
-    runs = listed.select("doc", F.explode(F.transform("units", lambda u, i: F.struct((u["no"] - i).alias("run"), u.alias("u")))).alias("x"))
-    runs = runs.groupBy("doc", "x.run").agg(
-        F.min("x.u.start").alias("start"), F.max("x.u.stop").alias("stop"), F.sum("x.u.words").alias("n_words"), F.count("*").alias("n_units"), F.min("x.u.first_doc").alias("first_doc_id")
+
+    def repeated(rows: DataFrame, label: str) -> DataFrame:
+        place = F.struct("doc", "word")
+        known = rows.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+        known = scratch.keep(known.select("digest", F.col("first.doc").alias("first_doc"), F.col("first.word").alias("first_word")), label)
+        return rows.join(known, "digest")
+
+    def runs_of(rows: DataFrame) -> DataFrame:
+        """Runs of repeated rows; *no* counts up within a run."""
+        again = rows.where("doc <> first_doc or word <> first_word")
+        listed = again.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("no", "start", "stop", "word", "words", "first_doc"))).alias("units"))
+        # A run begins at a unit whose predecessor isn't there; its number stays "no - index".
+        runs = listed.select("doc", F.explode(F.transform("units", lambda u, i: F.struct((u["no"] - i).alias("run"), u.alias("u")))).alias("x"))
+        ends = F.max(F.col("x.u.word") + F.col("x.u.words"))
+        return runs.groupBy("doc", "x.run").agg(
+            F.min("x.u.start").alias("start"), F.max("x.u.stop").alias("stop"), F.min("x.u.word").alias("word"), ends.alias("end"), F.count("*").alias("n_units"), F.min("x.u.first_doc").alias("first_doc_id")
+        )
+
+    again = repeated(every, "known")
+    later = F.expr("doc <> first_doc or word <> first_word")
+    picks = scratch.keep(again.where("no < 0").where(later).select("doc", "digest", "start", "stop", "word", "first_doc"), "picks")
+    by_word = Window.partitionBy("doc").orderBy("word")
+    gap = F.when(F.col("word") - F.lag("word").over(by_word) <= GRAM, 0).otherwise(1)
+    edges = picks.withColumn("gap", gap).withColumn("run", F.sum("gap").over(by_word))
+    whole = Window.partitionBy("doc", "run")
+    edges = edges.select("digest", (F.col("word") - F.min("word").over(whole) < GRAM - 1).alias("left"), (F.max("word").over(whole) - F.col("word") < GRAM - 1).alias("right"))
+    edges = edges.where("left or right").groupBy("digest").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    marks = every.where("no < 0").select("doc", "digest", "word").join(scratch.keep(edges, "edges"), "digest")
+    places = marks.groupBy("doc").agg(*(F.collect_set(F.when(F.col(side), F.col("word"))).alias(side) for side in ("left", "right")))
+    places = scratch.keep(places, "places")
+    ids = places.select("doc")
+    texts = source.join(F.broadcast(ids) if ids.count() <= broadcast_rows else ids, "doc", "left_semi")
+    windows = scratch.keep(texts.join(places, "doc").select("doc", "body", "left", "right").mapInArrow(_gram_rows, _GRAMS), "windows")
+    windows = windows.withColumn("words", F.lit(GRAM)).withColumn("no", F.col("word"))
+    single = picks.select("doc", "word", "start", "stop", (F.col("word") + GRAM).alias("end"), F.lit(1).cast("long").alias("n_units"), F.col("first_doc").alias("first_doc_id"))
+    runs = runs_of(again.where("no >= 0")).drop("run").unionByName(runs_of(repeated(windows, "same")).drop("run")).unionByName(single)
+    order = Window.partitionBy("doc").orderBy("word", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("begins", F.when(F.col("word") <= reach, 0).otherwise(1)).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("doc", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("end") - F.min("word")).cast("long").alias("n_words"), F.sum("n_units").alias("n_units"), F.min("first_doc_id").alias("first_doc_id")
     )
     return runs.where(F.col("n_words") >= min_words).select(F.col("doc").alias(id_col), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "n_words", "n_units", "first_doc_id")
 
