@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from turnstone.llm import decontaminate, html_text, license_scan, mixing, quality_model, quality_rules, substring_dedup, token_output
+from turnstone.llm import decontaminate, html_text, license_scan, mixing, quality_model, quality_rules, queries, substring_dedup, token_output
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -155,6 +155,21 @@ def test_licenses_match_plain_containment(spark):
     assert {(r.doc_id, r.license) for r in license_scan.license_matches(docs).collect()} == want and want
 
 
+def test_notices_of_the_data(spark):
+    """Every notice that stands in the documents, by plain search; and short forms."""
+    kinds = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3."}
+    kinds |= {"CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "All-rights-reserved": "All rights reserved."}
+    texts = {r.doc_id: " ".join((r.text or "").split()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    want = {(d, k) for d, t in texts.items() for k, notice in kinds.items() if notice in t}
+    found = {(r.doc_id, r.license) for r in queries.op4_license_scan(spark, "/root/testdata/sf0.01").collect()}
+    assert {k for _, k in want} == set(kinds) and want <= found and {x for x in found if x[1] in ("CC-BY-NC-4.0", "All-rights-reserved")} == {x for x in want if x[1] in ("CC-BY-NC-4.0", "All-rights-reserved")}
+    rows = [(1, "SPDX-License-Identifier: MIT"), (2, "all rights\nreserved"), (3, "all rights"), (4, "x SPDX-License-Identifier: LGPL-3.0-only"), (5, "under CC BY-SA 4.0, see"), (6, "CC BY"), (7, None), (8, "CC0 1.0")]
+    rows += [(9, "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"), (10, "rights reserved all")]
+    every = spark.createDataFrame([*license_scan.TEMPLATES, *license_scan.SHORT_TEMPLATES], "license string, text string")
+    got = {(r.doc_id, r.license) for r in license_scan.license_matches(spark.createDataFrame(rows, "doc_id long, text string"), every).collect()}
+    assert got == {(1, "MIT"), (2, "All-rights-reserved"), (4, "LGPL-3.0"), (5, "CC-BY-SA-4.0"), (8, "CC0-1.0"), (9, "AGPL-3.0")}
+
+
 def test_tokens_round_trip(spark, docs, empty, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer

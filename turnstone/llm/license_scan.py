@@ -10,6 +10,8 @@ A window that holds at least 80 % of a template, starting at the first shingle
 present, has a Jaccard similarity of 0.66 or more with it; BANDS bands of ROWS
 values then share one with a probability above 0.99999.
 
+Templates of fewer than five words are one shingle each, compared exactly.
+
 Only DataFrame functions run here.
 """
 
@@ -25,6 +27,9 @@ ROWS = 2
 BANDS = 24
 CONTAINED_PERCENT = 80
 
+_CC = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+_SPDX = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0")
+
 #: Notices in common use, by the SPDX id of their license.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -40,6 +45,26 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    *((f"CC-{kind}-{v}", f"Licensed under CC {kind} {v}.") for kind in _CC for v in ("3.0", "4.0")),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (*_SPDX, *(f"CC-{kind}-4.0" for kind in _CC))),
+    ("ISC", "Licensed under the ISC License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL", "GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License as published by the Free Software Foundation"),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+)
+
+#: Notices of fewer than five words; the last is no license but the lack of one.
+SHORT_TEMPLATES = (
+    *((f"CC-{kind}-{v}", f"CC {kind} {v}") for kind in _CC for v in ("3.0", "4.0") if kind.count("-") < 2),
+    ("CC0-1.0", "CC0 1.0"),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("MIT", "ISC", "Unlicense")),
+    ("All-rights-reserved", "All rights reserved."),
 )
 
 
@@ -82,8 +107,8 @@ def license_matches(
     the normalised words.  *templates* has ``license`` and ``text``; the
     default is TEMPLATES.
 
-    Null and empty texts, and texts or templates of fewer than five words,
-    match nothing.  Rows with a null id are left out; rows sharing an id count
+    Null and empty texts and templates match nothing.  A template of fewer than
+    five words is one shingle and must stand word for word.  Rows with a null id are left out; rows sharing an id count
     as one document.  Between equal windows the first wins.  Empty tables give
     an empty result; other columns are ignored.  Template tables and candidate
     ids are broadcast up to *broadcast_rows* rows and shuffled beyond.
@@ -93,8 +118,10 @@ def license_matches(
     if templates is None:
         templates = spark.createDataFrame(list(TEMPLATES), "license string, text string")
     listed = templates.select(F.xxhash64("license", "text").alias("template_id"), "license", _tokens(F.col("text")).alias("tokens"))
-    listed = listed.select("template_id", "license", F.size("tokens").alias("length"), F.array_distinct(_shingles("tokens")).alias("shingles")).where(F.col("length") >= SHINGLE)
-    listed = scratch.keep(listed.dropDuplicates(["template_id"]), "templates")
+    listed = listed.withColumn("length", F.size("tokens")).where("length > 0").dropDuplicates(["template_id"])
+    short = scratch.keep(listed.where(F.col("length") < SHINGLE), "short")
+    listed = listed.where(F.col("length") >= SHINGLE).select("template_id", "license", "length", F.array_distinct(_shingles("tokens")).alias("shingles"))
+    listed = scratch.keep(listed, "templates")
     known = scratch.keep(listed.select(F.explode_outer("shingles").alias("hash")).distinct(), "known")
     lengths = sorted(r.length for r in listed.select("length").distinct().collect())
 
@@ -116,4 +143,21 @@ def license_matches(
     shared = F.size(F.array_intersect("own", "shingles"))
     judged = found.join(listed, "template_id").withColumn("n_shared", shared).withColumn("n_shingles", F.size("shingles")).where(F.col("n_shared") * 100 >= F.col("n_shingles") * percent)
     best = judged.groupBy("doc_id", "template_id", "license").agg(F.max(F.struct("n_shared", (-F.col("pos")).alias("back"), "n_shingles")).alias("b"))
-    return best.select("doc_id", "template_id", "license", F.col("b.n_shared").cast("long").alias("n_shared"), F.col("b.n_shingles").cast("long").alias("n_shingles"), (-F.col("b.back")).cast("long").alias("first_word"))
+    best = best.select("doc_id", "template_id", "license", F.col("b.n_shared").cast("long").alias("n_shared"), F.col("b.n_shingles").cast("long").alias("n_shingles"), (-F.col("b.back")).cast("long").alias("first_word"))
+    return best.unionByName(_short_matches(texts, short, broadcast_rows))
+
+
+def _short_matches(texts: DataFrame, short: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Rows of ``license_matches`` for templates of fewer than five words."""
+    sizes = sorted(r.length for r in short.select("length").distinct().collect()) or [SHINGLE - 1]
+    whole = lambda tokens, i, n: F.xxhash64(F.lit(n), *(F.get(tokens, i + j) for j in range(n))).alias(f"h{n}")
+    at = lambda tokens, i: F.struct(*(whole(tokens, i, n) for n in sizes))
+    known = short.select("template_id", "license", "length", at(F.col("tokens"), F.lit(0)).alias("t")).select("template_id", "license", "length", "t.*")
+    first = f"h{sizes[0]}"
+    known = known.select("template_id", "license", first, *(F.when(F.col("length") == n, F.col(f"h{n}")).alias(f"t{n}") for n in sizes))
+    words = texts.select("doc_id", _tokens(F.col("body")).alias("tokens"))
+    words = words.select("doc_id", F.posexplode_outer(F.transform("tokens", lambda w, i: at(F.col("tokens"), i))).alias("pos", "h")).select("doc_id", "pos", "h.*")
+    known = known.where(f"{first} is not null")
+    found = words.join(F.broadcast(known) if short.count() <= broadcast_rows else known, first).where(" or ".join(f"h{n} = t{n}" for n in sizes))
+    one = F.lit(1).cast("long")
+    return found.groupBy("doc_id", "template_id", "license").agg(F.min("pos").cast("long").alias("first_word")).select("doc_id", "template_id", "license", one.alias("n_shared"), one.alias("n_shingles"), "first_word")

@@ -48,7 +48,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.license_matches(table(spark, sf_dir, "documents"))
+    templates = spark.createDataFrame([*license_scan.TEMPLATES, *license_scan.SHORT_TEMPLATES], "license string, text string")
+    return license_scan.license_matches(table(spark, sf_dir, "documents"), templates)
 
 
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
