@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, token_output
+from . import decontaminate, html_text, license_scan, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, token_output, wordarrays
 from .common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +202,44 @@ OP6_SQL = f"""WITH {op6_rows()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged
 """
 
+def _sql_islands(source: str) -> str:
+    """Spans of a document that overlap or touch, as one."""
+    return f"""(SELECT doc_id, min(word) AS word, max(past) AS past, min(start) AS start, max(stop) AS stop, min(first_doc) AS first_doc
+  FROM (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY word, past ROWS UNBOUNDED PRECEDING) AS island
+    FROM (SELECT *, CASE WHEN word <= max(past) OVER (PARTITION BY doc_id ORDER BY word, past ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS begins FROM ({source})))
+  GROUP BY doc_id, island)"""
+
+
+_GRAM = substring_dedup.GRAM
+_HASH = " + ".join(f"lead(h, {j}) OVER o * {pow(wordarrays.BASE, j, 1 << 64)}::HUGEINT" for j in range(_GRAM))
+_BESIDE = """SELECT r.doc_id, r.first_doc, r.shift, r.run, coalesce(min(k) FILTER (WHERE a.w IS NULL OR b.w IS NULL OR a.w <> b.w) - 1, {last}) AS reach
+  FROM runs r CROSS JOIN range(1, {gram}) t(k) LEFT JOIN words a ON a.doc_id = r.doc_id AND a.i = {place} LEFT JOIN words b ON b.doc_id = r.first_doc AND b.i = {place} + r.shift GROUP BY ALL"""
+
+OP10_SQL = rf"""
+WITH texts AS (SELECT doc_id, {SQL_LOWER.format("text")} AS text FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT doc_id, generate_subscripts(m, 1) AS i, unnest(m) AS m FROM (SELECT doc_id, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+') AS m FROM texts)),
+placed AS (SELECT doc_id, i, regexp_replace(m, '^[\x20\x09-\x0D]+', '') AS w, sum(length(m)) OVER p AS stop, sum(length(m) - length(replace(m, chr(10), ''))) OVER p AS line FROM pieces WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+hashes AS (SELECT w, ('0x' || left(md5(w), 8))::UBIGINT::HUGEINT AS h FROM (SELECT DISTINCT w FROM placed)),
+words AS (SELECT doc_id, i, w, h, stop - length(w) AS start, stop, line, count(*) OVER (PARTITION BY doc_id) AS n FROM placed JOIN hashes USING (w)),
+lines AS (SELECT doc_id, min(i) AS word, max(i) + 1 AS past, min(start) AS start, max(stop) AS stop, string_agg(w, ' ' ORDER BY i) AS x FROM words GROUP BY doc_id, line HAVING count(*) >= {substring_dedup.LINE_WORDS}),
+later_lines AS (SELECT doc_id, word, past, start, stop, first_doc FROM (SELECT *, first_value(doc_id) OVER e AS first_doc, row_number() OVER e AS k FROM lines WINDOW e AS (PARTITION BY x ORDER BY doc_id, word)) WHERE k > 1),
+grams AS (SELECT doc_id, i, n, ({_HASH}) % 18446744073709551616::HUGEINT AS g FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+least AS (SELECT *, CASE WHEN i <= n - {2 * _GRAM - 2} THEN min(g) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {_GRAM - 1} FOLLOWING) END AS m FROM grams),
+chosen AS (SELECT doc_id, i AS word FROM (SELECT *, max(m) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {_GRAM - 1} PRECEDING AND CURRENT ROW) = g AS yes FROM least) WHERE yes),
+listed AS (SELECT doc_id, list(w ORDER BY i) AS ws FROM words GROUP BY doc_id),
+windows AS (SELECT doc_id, word, array_to_string(ws[word:word + {_GRAM - 1}], ' ') AS x FROM chosen JOIN listed USING (doc_id)),
+later AS (SELECT doc_id, word, first_doc, first_word - word AS shift FROM (SELECT *, first_value(doc_id) OVER e AS first_doc, first_value(word) OVER e AS first_word, row_number() OVER e AS k FROM windows WINDOW e AS (PARTITION BY x ORDER BY doc_id, word)) WHERE k > 1),
+runs AS (SELECT doc_id, first_doc, shift, run, min(word) AS low, max(word) AS high FROM (
+  SELECT *, sum(begins) OVER (PARTITION BY doc_id, first_doc, shift ORDER BY word) AS run FROM (SELECT *, CASE WHEN word - lag(word) OVER (PARTITION BY doc_id, first_doc, shift ORDER BY word) <= {_GRAM} THEN 0 ELSE 1 END AS begins FROM later)
+) GROUP BY ALL),
+before AS ({_BESIDE.format(last=_GRAM - 1, gram=_GRAM, place="r.low - k")}),
+beyond AS ({_BESIDE.format(last=_GRAM - 1, gram=_GRAM, place=f"r.high + {_GRAM - 1} + k")}),
+extended AS (SELECT r.doc_id, r.low - p.reach AS word, r.high + {_GRAM} + q.reach AS past, r.first_doc FROM runs r JOIN before p USING (doc_id, first_doc, shift, run) JOIN beyond q USING (doc_id, first_doc, shift, run)),
+passages AS (SELECT x.doc_id, x.word, x.past, a.start, b.stop, x.first_doc FROM extended x JOIN words a ON a.doc_id = x.doc_id AND a.i = x.word JOIN words b ON b.doc_id = x.doc_id AND b.i = x.past - 1),
+removed AS (SELECT * FROM later_lines UNION ALL SELECT doc_id, word, past, start, stop, first_doc FROM {_sql_islands("SELECT * FROM passages")} WHERE past - word >= {substring_dedup.PASSAGE})
+SELECT doc_id, start::BIGINT AS start, stop::BIGINT AS stop, (past - word)::BIGINT AS n_words, past - word >= {substring_dedup.PASSAGE} AS passage, first_doc AS first_doc_id FROM {_sql_islands("SELECT * FROM removed")}
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
@@ -220,4 +258,5 @@ SQL: dict[str, str] = {
     "op3_source_mixing": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op9_minhash_near_dedup": OP9_SQL,
+    "op10_substring_dedup": OP10_SQL,
 }

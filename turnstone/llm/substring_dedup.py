@@ -1,241 +1,215 @@
-"""Repeated passages by hashing lines, parts of long lines and word windows (operator 10).
-
-A text's units are its lines, cut further after words that end a sentence and
-after one word in CUT_ODDS by hash.  Cuts depend on two words alone, so a
-passage has the same inner units wherever it stands, in a line of its own or
-inside another.  Units are normalised (case, white space), digests are grouped
-over all documents, and the earliest occurrence of each is kept.  Runs of
-repeated units with at least ``min_words`` words are removed; shorter ones
-stay, so common short phrases don't count.
-
-Units cut by a passage's edges never match.  So windows of GRAM words are
-hashed too, and of every GRAM windows in a row the least is chosen: two texts
-that share PASSAGE words share a chosen window.  Where repeated chosen windows stop
-covering the words beside them, every window on that side of them is compared,
-in all their occurrences, so that the passage is found from its first word to
-its last, against whichever earlier text has it.
+"""Repeated lines and passages by hashing units (operator 10).
+
+Lines are normalised (A-Z in lower case, white space as one space) and their
+digests grouped over all documents; the earliest ranked occurrence stays and
+every other one is removed, with its original offsets.  Lines of fewer than
+``line_words`` words, which repeat by chance, stay.
+
+Passages that are spliced into other lines have no lines of their own, so
+windows of words are units too.  Of every ``gram`` windows of ``gram`` words
+in a row the one with the least hash is chosen: texts that share a passage of
+``2 * gram - 1`` words share a chosen window.  A later occurrence is aligned
+with the window's earliest one and extended over equal words to both sides;
+what then has at least ``2 * gram - 1`` words is removed.  The windows' hash is
+built from MD5 so that SQL can choose the same windows.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, slices
+from .common import Scratch, free_name, mix, slices
+from .wordarrays import Md5Words, Sums, Texts, sliding
 
-CUT_ODDS = 32
-MIN_WORDS = 25
+LINE_WORDS = 5
 GRAM = 26
-#: Words of the shortest passage that is always found whole.
+#: Words of the shortest passage that is removed outside whole lines.
 PASSAGE = 2 * GRAM - 1
+_BATCH = 256
+_UNITS = "doc bigint, part bigint, digest bigint, line boolean, word int, words int, start int, stop int"
+_EDGES = "doc bigint, part bigint, word int, side int, near array<int>, offsets array<int>"
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_M1 = np.uint64(0x9E3779B97F4A7C15)
 
+def chosen_windows(h: np.ndarray, text: np.ndarray, gram: int) -> np.ndarray:
+    """Places of windows that are the least of some *gram* windows in a row of one text."""
+    n = len(h) - (2 * gram - 2)
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    sums = Sums(h)
+    grams = sums.of(slice(0, len(h) - gram + 1), slice(gram, len(h) + 1))
+    least = sliding(np.minimum, grams, gram)
+    least[text[:n] != text[2 * gram - 2 :]] = 0
+    edge = np.zeros(gram - 1, np.uint64)
+    return np.flatnonzero((sliding(np.maximum, np.concatenate([edge, least, edge]), gram) == grams) & (grams > 0))
+
+
+def _unit_rows(line_words: int, gram: int):
+    def rows(docs: np.ndarray, parts: np.ndarray, texts: Texts, md5: Md5Words) -> pa.RecordBatch:
+        sums = Sums(texts.key)
+        turn = np.ones(len(texts), bool)
+        turn[1:] = (texts.line[1:] != texts.line[:-1]) | (texts.text[1:] != texts.text[:-1])
+        first = np.flatnonzero(turn)
+        last = np.append(first[1:], len(texts)).astype(np.int64)[: len(first)]
+        long = last - first >= line_words
+        first, last = first[long], last[long]
+        windows = chosen_windows(md5.of(texts), texts.text, gram)
+        start, end = np.concatenate([first, windows]), np.concatenate([last, windows + gram])
+        is_line = np.arange(len(start)) < len(first)
+        digest = mix(sums.of(start, end) + (end - start).astype(np.uint64) * np.uint64(2) + is_line.astype(np.uint64))
+        own = texts.text[start]
+        # Offsets of windows come with their edges later.
+        begin, stop = np.where(is_line, texts.begin[start], 0), np.where(is_line, texts.stop[end - 1], 0)
+        numbers = [(start - texts.first[own]), end - start, begin, stop]
+        return pa.RecordBatch.from_arrays([pa.array(docs[own]), pa.array(parts[own]), pa.array(digest.view(np.int64)), pa.array(is_line), *(pa.array(x.astype(np.int32)) for x in numbers)], names=[x.split()[0] for x in _UNITS.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        md5 = Md5Words()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for a, b in slices(batch.num_rows, _BATCH):
+                    piece = batch.slice(a, b - a)
+                    texts = Texts(piece.column(2))
+                    if len(texts):
+                        yield rows(*(piece.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)), texts, md5)
+
+    return run
+
+
+def _lists(values: np.ndarray, valid: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(valid.sum(axis=1))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[valid].astype(np.int32)))
+
+
+def _edge_rows(gram: int):
+    """Words beside windows, nearest first: side 0 before the first word, 1 after the last.
+
+    ``offsets`` has the edge's code point without, with one, with two ... of them.
+    """
 
-class _Words(dict):
-    """Word -> 64-bit hash; bit 0: the word ends a sentence, bit 1: a cut by hash."""
-
-    LIMIT = 500_000
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
-        ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", "…", "。")
-        by_hash = (h >> 8) % CUT_ODDS == 0
-        value = self[word] = h & ~3 | ends | by_hash << 1
-        return value
-
-
-def _word_hashes(text: str | None, words: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) and hash of each word."""
-    spans = [m.span() for m in _WORD.finditer(text)] if text else []
-    return np.array(spans, np.int64).reshape(-1, 2), np.fromiter((words[text[a:b]] for a, b in spans), np.uint64, len(spans))
-
-
-def grams(h: np.ndarray) -> np.ndarray:
-    """The digest of the GRAM words from each word on."""
-    powers, size = {1: mix((h >> np.uint64(2)) + _M1)}, 1
-    while 2 * size <= GRAM:
-        x = powers[size]
-        powers[2 * size] = mix(x[: max(len(x) - size, 0)] * _M1 + x[size:])
-        size *= 2
-    n, value, done = max(len(h) - (GRAM - 1), 0), np.uint64(GRAM), 0
-    for size in sorted(powers, reverse=True):
-        if GRAM & size:
-            value = mix(value * _M1 + powers[size][done : done + n])
-            done += size
-    return value
-
-
-def _slide(least: np.ufunc, x: np.ndarray) -> np.ndarray:
-    """The least or largest of every GRAM values in a row."""
-    n, size = len(x) - (GRAM - 1), 1
-    while 2 * size <= GRAM:
-        x, size = least(x[:-size], x[size:]), 2 * size
-    return least(x[:n], x[GRAM - size :])
-
+    def rows(docs: np.ndarray, parts: np.ndarray, texts: Texts, wanted: list[list[int]]) -> pa.RecordBatch:
+        own = np.repeat(np.arange(len(docs)), [len(x) for x in wanted])
+        marks = np.array([m for x in wanted for m in x], np.int64)
+        word, side = marks >> 1, marks & 1
+        at = word + texts.first[own] + np.where(side == 1, gram - 1, 0)
+        ok = at < texts.first[own + 1]
+        own, word, side, at = own[ok], word[ok], side[ok], at[ok]
+        step = np.where(side == 1, 1, -1)[:, None] * np.arange(gram)[None, :]
+        index = at[:, None] + step
+        valid = (index >= texts.first[own][:, None]) & (index < texts.first[own + 1][:, None])
+        index = np.where(valid, index, 0)
+        near = (texts.key[index] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        offsets = np.where(side[:, None] == 1, texts.stop[index], texts.begin[index])
+        arrays = [pa.array(docs[own]), pa.array(parts[own]), pa.array(word.astype(np.int32)), pa.array(side.astype(np.int32)), _lists(near[:, 1:], valid[:, 1:]), _lists(offsets, valid)]
+        return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in _EDGES.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for a, b in slices(batch.num_rows, _BATCH):
+                    piece = batch.slice(a, b - a)
+                    texts = Texts(piece.column(2))
+                    if len(texts):
+                        yield rows(*(piece.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)), texts, piece.column(3).to_pylist())
+
+    return run
+
+
+def _same(near: Column, other: Column) -> Column:
+    """How many leading elements of two arrays are equal."""
+    equal = F.zip_with(near, other, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    at = F.array_position(equal, F.lit(False))
+    return F.when(at > 0, at - 1).otherwise(F.size(equal)).cast("int")
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """Spans of a text that overlap or touch, as one."""
+    order = Window.partitionBy("doc", "part").orderBy("word", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("begins", F.when(F.col("word") <= reach, 0).otherwise(1)).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.groupBy("doc", "part", "run").agg(*(f(c).alias(c) for f, c in ((F.min, "word"), (F.max, "end"), (F.min, "start"), (F.max, "stop"), (F.min, "first_doc")))).drop("run")
+
+
+def _spans(source: DataFrame, line_words: int, gram: int, broadcast_rows: int, scratch: Scratch) -> DataFrame:
+    """doc, part, word, end, start, stop, first_doc of what is removed; *source* has doc, part and body."""
+    every = scratch.keep(source.mapInArrow(_unit_rows(line_words, gram), _UNITS), "units")
+    place = F.struct("doc", "part", "word")
+    known = every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+    known = scratch.keep(known.select("digest", F.col("first.doc").alias("first_doc"), F.col("first.part").alias("first_part"), F.col("first.word").alias("first_word")), "known")
+    again = every.join(known, "digest").where("doc > first_doc or (doc = first_doc and (part > first_part or (part = first_part and word > first_word)))")
+    again = scratch.keep(again.drop("digest"), "again")
+    lines = again.where("line").select("doc", "part", "word", (F.col("word") + F.col("words")).alias("end"), "start", "stop", "first_doc")
+
+    # Windows whose alignment stays the same and that leave no gap are one run.
+    aligned = ["doc", "part", "first_doc", "first_part", "shift"]
+    windows = again.where("not line").withColumn("shift", F.col("first_word") - F.col("word"))
+    by_word = Window.partitionBy(*aligned).orderBy("word")
+    begins = F.when(F.col("word") - F.lag("word").over(by_word) <= gram, 0).otherwise(1)
+    runs = windows.withColumn("begins", begins).withColumn("run", F.sum("begins").over(by_word))
+    runs = scratch.keep(runs.groupBy(*aligned, "run").agg(F.min("word").alias("low"), F.max("word").alias("high")), "runs")
+
+    sides = F.explode(F.array(*(F.struct(F.lit(side).alias("side"), F.col(c).alias("word")) for side, c in ((0, "low"), (1, "high")))))
+    edges = runs.select(*aligned, "run", sides.alias("e")).select(*aligned, "run", "e.side", "e.word", (F.col("e.word") + F.col("shift")).alias("first_word"))
+    wanted = edges.select("doc", "part", "word", "side").unionByName(edges.select(F.col("first_doc").alias("doc"), F.col("first_part").alias("part"), F.col("first_word").alias("word"), "side")).distinct()
+    wanted = scratch.keep(wanted.groupBy("doc", "part").agg(F.collect_list(F.col("word") * 2 + F.col("side")).alias("wanted")), "wanted")
+    beside = source.join(F.broadcast(wanted.select("doc", "part")) if wanted.count() <= broadcast_rows else wanted.select("doc", "part"), ["doc", "part"], "left_semi")
+    beside = scratch.keep(beside.join(wanted, ["doc", "part"]).select("doc", "part", "body", "wanted").mapInArrow(_edge_rows(gram), _EDGES), "beside")
+    first = beside.select(F.col("doc").alias("first_doc"), F.col("part").alias("first_part"), F.col("word").alias("first_word"), "side", F.col("near").alias("other"))
+    reached = edges.join(beside, ["doc", "part", "word", "side"]).join(first, ["first_doc", "first_part", "first_word", "side"])
+    reached = reached.withColumn("reach", _same(F.col("near"), F.col("other"))).withColumn("edge", F.get("offsets", F.col("reach")))
+    left, right = F.col("side") == 0, F.col("side") == 1
+    passages = reached.groupBy(*aligned, "run").agg(
+        F.min(F.when(left, F.col("word") - F.col("reach"))).alias("word"), F.max(F.when(right, F.col("word") + gram + F.col("reach"))).alias("end"), F.min(F.when(left, F.col("edge"))).alias("start"), F.max(F.when(right, F.col("edge"))).alias("stop")
+    )
+    passages = _merged(passages.select("doc", "part", "word", "end", "start", "stop", "first_doc")).where(F.col("end") - F.col("word") >= 2 * gram - 1)
+    return _merged(lines.unionByName(passages))
 
-def chosen(g: np.ndarray) -> np.ndarray:
-    """Places of the windows that are the least of some GRAM in a row."""
-    if len(g) < GRAM:
-        return np.zeros(0, np.int64)
-    edge = np.zeros(GRAM - 1, np.uint64)
-    return np.flatnonzero(_slide(np.maximum, np.concatenate([edge, _slide(np.minimum, g), edge])) == g)
 
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    body = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(body).alias("part"), body.alias("body")).where("doc is not null")
 
-def units(text: str | None, words: _Words) -> tuple[np.ndarray, ...]:
-    """(digest, number, start, end, first word, n_words) of each unit and chosen window.
 
-    Offsets are in code points.  A window's number is the complement of its
-    first word's.
-    """
-    at, h = _word_hashes(text, words)
-    if not len(h):
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
-    g = grams(h)
-    picked = chosen(g)
-    stops = (h & np.uint64(1)).astype(bool)
-    ends = (h & np.uint64(2)).astype(bool)
-    ends |= stops & ~np.concatenate([[False], stops[:-1]])  # where every word has a full stop, none ends a sentence
-    breaks = np.array([m.start() for m in re.finditer("\n", text)], np.int64)
-    last_before = np.searchsorted(at[:, 0], breaks) - 1
-    ends[last_before[last_before >= 0]] = True
-    ends[-1] = True
-    last = np.flatnonzero(ends)
-    first = np.concatenate([[0], last[:-1] + 1])
-    place = np.arange(len(h)) - np.repeat(first, last - first + 1)
-    value = mix((h >> np.uint64(2)) + (place.astype(np.uint64) + np.uint64(1)) * _M1)
-    digest = mix(np.add.reduceat(value, first) + (last - first + 1).astype(np.uint64))
-    n_words = last - first + 1
-    own = digest.view(np.int64), np.arange(len(first)), at[first, 0], at[last, 1], first, n_words
-    return tuple(np.concatenate(x) for x in zip(own, (g[picked].view(np.int64), ~picked, at[picked, 0], at[picked + (GRAM - 1), 1], picked, np.full(len(picked), GRAM)), strict=True))
-
-
-def near(text: str | None, left: list[int], right: list[int], words: _Words) -> tuple[np.ndarray, ...]:
-    """(digest, start, end, first word) of the windows less than GRAM words left or right of places."""
-    at, h = _word_hashes(text, words)
-    g = grams(h)
-    step = np.zeros(len(g) + 1, np.int64)
-    for places, before, after in ((left, GRAM - 1, 0), (right, 0, GRAM - 1)):
-        p = np.array([x for x in places if x < len(g)], np.int64)
-        np.add.at(step, np.maximum(p - before, 0), 1)
-        np.add.at(step, np.minimum(p + after + 1, len(g)), -1)
-    k = np.flatnonzero(np.cumsum(step)[:-1] > 0)
-    return g[k].view(np.int64), at[k, 0], at[k + (GRAM - 1), 1], k
-
-
-_UNITS = "doc bigint, digest bigint, no int, start int, stop int, word int, words int"
-_GRAMS = "doc bigint, digest bigint, start int, stop int, word int"
-
-
-def _batch_of(docs: np.ndarray, found: list[tuple[np.ndarray, ...]], names: str) -> pa.RecordBatch:
-    columns = [np.concatenate(x) for x in zip(*found, strict=True)]
-    doc = np.repeat(docs, [len(x[0]) for x in found])
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(columns[0], pa.int64()), *(pa.array(x.astype(np.int32)) for x in columns[1:])], names=[x.split()[0] for x in names.split(", ")])
-
-
-def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = _Words()
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            for a, b in slices(batch.num_rows, 256):
-                piece = batch.slice(a, b - a)
-                docs = piece.column(0).to_numpy(zero_copy_only=False)
-                yield _batch_of(docs, [units(t, words) for t in piece.column(1).to_pylist()], _UNITS)
-
-
-def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = _Words()
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            for a, b in slices(batch.num_rows, 64):
-                piece = batch.slice(a, b - a)
-                docs = piece.column(0).to_numpy(zero_copy_only=False)
-                yield _batch_of(docs, [near(*row, words) for row in zip(*(piece.column(i).to_pylist() for i in (1, 2, 3)), strict=True)], _GRAMS)
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, broadcast_rows: int = 500_000) -> DataFrame:
-    """One row per removed run: *id_col*, ``start``, ``stop``, ``n_words``, ``n_units``, ``first_doc_id``.
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, line_words: int = LINE_WORDS, gram: int = GRAM, broadcast_rows: int = 500_000) -> DataFrame:
+    """One row per removed span: *id_col*, ``start``, ``stop``, ``n_words``, ``passage``, ``first_doc_id``.
 
     Offsets are code points of the original text, end exclusive.  Occurrences
-    are ranked by document id and place; the first of each unit stays.
-    ``first_doc_id`` is the least id that keeps a unit or window of the run,
-    which may be the document itself; ``n_units`` counts both.  Every word of a
-    passage of PASSAGE words or more that an earlier place has is in a run.  Null, empty and blank texts have no units.  Rows
-    sharing an id are one document: their equal places tie and are kept alike.
-    Rows with a null id are ignored.  An empty table gives an empty result and
-    other columns don't matter.
-
-    Digests have 64 bits.  A digest's rows are combined before the shuffle;
-    the join that brings the result back to the units is one that adaptive
-    execution splits where a line is very common.  The ids of documents whose
-    windows are compared are broadcast up to *broadcast_rows* and shuffled beyond.
+    are ranked by document id, then by the text's hash where rows share an id,
+    then by place; the first of each unit stays.  Removed lines and passages
+    that overlap or touch are one span.  ``passage`` says that it has
+    ``2 * gram - 1`` words or more, and ``first_doc_id`` is the least id that
+    keeps a unit of the span, which may be the document itself.
+
+    Null, empty and blank texts have no units.  Equal rows (id and text) are
+    one document, whose spans are given once; rows that share an id but not the
+    text are ranked apart, each with spans of its own.  Rows with a null id are
+    ignored.  An empty table gives an empty result; other columns don't matter.
+
+    Digests have 64 bits; a passage of wrongly equal digests is not extended
+    and so falls short of its least length.  A digest's rows are combined
+    before the shuffle, and the joins are ones that adaptive execution splits
+    where a unit is very common.  The ids of documents that are read again for
+    their passages' edges are broadcast up to *broadcast_rows*, shuffled beyond.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "repeats")
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body")).where("doc is not null")
-    every = scratch.keep(source.mapInArrow(_unit_rows, _UNITS), "units")
-
-    def repeated(rows: DataFrame, label: str) -> DataFrame:
-        place = F.struct("doc", "word")
-        known = rows.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
-        known = scratch.keep(known.select("digest", F.col("first.doc").alias("first_doc"), F.col("first.word").alias("first_word")), label)
-        return rows.join(known, "digest")
-
-    def runs_of(rows: DataFrame) -> DataFrame:
-        """Runs of repeated rows; *no* counts up within a run."""
-        again = rows.where("doc <> first_doc or word <> first_word")
-        listed = again.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("no", "start", "stop", "word", "words", "first_doc"))).alias("units"))
-        # A run begins at a unit whose predecessor isn't there; its number stays "no - index".
-        runs = listed.select("doc", F.explode(F.transform("units", lambda u, i: F.struct((u["no"] - i).alias("run"), u.alias("u")))).alias("x"))
-        ends = F.max(F.col("x.u.word") + F.col("x.u.words"))
-        return runs.groupBy("doc", "x.run").agg(
-            F.min("x.u.start").alias("start"), F.max("x.u.stop").alias("stop"), F.min("x.u.word").alias("word"), ends.alias("end"), F.count("*").alias("n_units"), F.min("x.u.first_doc").alias("first_doc_id")
-        )
-
-    again = repeated(every, "known")
-    later = F.expr("doc <> first_doc or word <> first_word")
-    picks = scratch.keep(again.where("no < 0").where(later).select("doc", "digest", "start", "stop", "word", "first_doc"), "picks")
-    by_word = Window.partitionBy("doc").orderBy("word")
-    gap = F.when(F.col("word") - F.lag("word").over(by_word) <= GRAM, 0).otherwise(1)
-    edges = picks.withColumn("gap", gap).withColumn("run", F.sum("gap").over(by_word))
-    whole = Window.partitionBy("doc", "run")
-    edges = edges.select("digest", (F.col("word") - F.min("word").over(whole) < GRAM - 1).alias("left"), (F.max("word").over(whole) - F.col("word") < GRAM - 1).alias("right"))
-    edges = edges.where("left or right").groupBy("digest").agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    marks = every.where("no < 0").select("doc", "digest", "word").join(scratch.keep(edges, "edges"), "digest")
-    places = marks.groupBy("doc").agg(*(F.collect_set(F.when(F.col(side), F.col("word"))).alias(side) for side in ("left", "right")))
-    places = scratch.keep(places, "places")
-    ids = places.select("doc")
-    texts = source.join(F.broadcast(ids) if ids.count() <= broadcast_rows else ids, "doc", "left_semi")
-    windows = scratch.keep(texts.join(places, "doc").select("doc", "body", "left", "right").mapInArrow(_gram_rows, _GRAMS), "windows")
-    windows = windows.withColumn("words", F.lit(GRAM)).withColumn("no", F.col("word"))
-    single = picks.select("doc", "word", "start", "stop", (F.col("word") + GRAM).alias("end"), F.lit(1).cast("long").alias("n_units"), F.col("first_doc").alias("first_doc_id"))
-    runs = runs_of(again.where("no >= 0")).drop("run").unionByName(runs_of(repeated(windows, "same")).drop("run")).unionByName(single)
-    order = Window.partitionBy("doc").orderBy("word", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.withColumn("begins", F.when(F.col("word") <= reach, 0).otherwise(1)).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.groupBy("doc", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("end") - F.min("word")).cast("long").alias("n_words"), F.sum("n_units").alias("n_units"), F.min("first_doc_id").alias("first_doc_id")
-    )
-    return runs.where(F.col("n_words") >= min_words).select(F.col("doc").alias(id_col), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "n_words", "n_units", "first_doc_id")
+    scratch = Scratch(docs.sparkSession, "repeats")
+    spans = _spans(_source(docs, id_col, text_col), line_words, gram, broadcast_rows, scratch)
+    n_words = (F.col("end") - F.col("word")).cast("long")
+    return spans.select(F.col("doc").alias(id_col), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), n_words.alias("n_words"), (n_words >= 2 * gram - 1).alias("passage"), F.col("first_doc").alias("first_doc_id"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
-    """*docs* with repeated runs cut from the text; every row and column stays."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, line_words: int = LINE_WORDS, gram: int = GRAM, broadcast_rows: int = 500_000) -> DataFrame:
+    """*docs* with the spans of ``repeated_spans`` cut from the text; every row and column stays."""
     scratch = Scratch(docs.sparkSession, "cut")
-    spans = repeated_spans(docs, id_col, text_col, **options)
-    spans = scratch.keep(spans.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_spans")), "spans")
-    joined = docs.join(spans, id_col, "left")
-    text = F.col(text_col)
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_spans", lambda s: s["stop"]))
-    starts = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.length(text).cast("long")))
-    kept = F.array_join(F.zip_with(ends, starts, lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))), "")
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(kept)).select(*docs.columns)
+    cut, own, part = (free_name(docs, n) for n in ("_spans", "_doc", "_part"))
+    spans = _spans(_source(docs, id_col, text_col), line_words, gram, broadcast_rows, scratch)
+    spans = scratch.keep(spans.groupBy(F.col("doc").alias(own), F.col("part").alias(part)).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias(cut)), "spans")
+    text = F.col(text_col).cast("string")
+    joined = docs.withColumns({own: F.col(id_col).cast("long"), part: F.xxhash64(text)}).join(spans, [own, part], "left")
+    ends = F.concat(F.array(F.lit(0)), F.transform(cut, lambda s: s["stop"]))
+    starts = F.concat(F.transform(cut, lambda s: s["start"]), F.array(F.length(text)))
+    kept = F.array_join(F.zip_with(ends, starts, lambda a, b: F.substring(text, a + 1, b - a)), "")
+    return joined.withColumn(text_col, F.when(F.col(cut).isNull(), text).otherwise(kept)).select(*docs.columns)
