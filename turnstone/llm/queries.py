@@ -228,7 +228,8 @@ least AS (SELECT *, CASE WHEN i <= n - {2 * _GRAM - 2} THEN min(g) OVER (PARTITI
 chosen AS (SELECT doc_id, i AS word FROM (SELECT *, max(m) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {_GRAM - 1} PRECEDING AND CURRENT ROW) = g AS yes FROM least) WHERE yes),
 listed AS (SELECT doc_id, list(w ORDER BY i) AS ws FROM words GROUP BY doc_id),
 windows AS (SELECT doc_id, word, array_to_string(ws[word:word + {_GRAM - 1}], ' ') AS x FROM chosen JOIN listed USING (doc_id)),
-later AS (SELECT doc_id, word, first_doc, first_word - word AS shift FROM (SELECT *, first_value(doc_id) OVER e AS first_doc, first_value(word) OVER e AS first_word, row_number() OVER e AS k FROM windows WINDOW e AS (PARTITION BY x ORDER BY doc_id, word)) WHERE k > 1),
+later AS (SELECT doc_id, word, CASE WHEN back IS NULL THEN first_doc ELSE doc_id END AS first_doc, coalesce(back, first_word) - word AS shift
+  FROM (SELECT *, first_value(doc_id) OVER e AS first_doc, first_value(word) OVER e AS first_word, row_number() OVER e AS k, lag(word) OVER (PARTITION BY x, doc_id ORDER BY word) AS back FROM windows WINDOW e AS (PARTITION BY x ORDER BY doc_id, word)) WHERE k > 1),
 runs AS (SELECT doc_id, first_doc, shift, run, min(word) AS low, max(word) AS high FROM (
   SELECT *, sum(begins) OVER (PARTITION BY doc_id, first_doc, shift ORDER BY word) AS run FROM (SELECT *, CASE WHEN word - lag(word) OVER (PARTITION BY doc_id, first_doc, shift ORDER BY word) <= {_GRAM} THEN 0 ELSE 1 END AS begins FROM later)
 ) GROUP BY ALL),

@@ -8,9 +8,10 @@ every other one is removed, with its original offsets.  Lines of fewer than
 Passages that are spliced into other lines have no lines of their own, so
 windows of words are units too.  Of every ``gram`` windows of ``gram`` words
 in a row the one with the least hash is chosen: texts that share a passage of
-``2 * gram - 1`` words share a chosen window.  A later occurrence is aligned
-with the window's earliest one and extended over equal words to both sides;
-what then has at least ``2 * gram - 1`` words is removed.  The windows' hash is
+``2 * gram - 1`` words share a chosen window.  A text's first occurrence of a
+window is aligned with the first one of the earliest text that has it, each
+further one with the one before it in its own text, and extended over equal words to both
+sides; what then has at least ``2 * gram - 1`` words is removed.  The windows' hash is
 built from MD5 so that SQL can choose the same windows.
 """
 
@@ -20,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Scratch, free_name, mix, slices
 from .wordarrays import Md5Words, Sums, Texts, sliding
@@ -31,7 +33,10 @@ GRAM = 26
 #: Words of the shortest passage that is removed outside whole lines.
 PASSAGE = 2 * GRAM - 1
 _BATCH = 256
-_UNITS = "doc bigint, part bigint, digest bigint, line boolean, word int, words int, start int, stop int"
+#: Kinds of units; for a run of windows that its own text has already, ``words``
+#: is the last one's first word and ``start`` its distance from the one before.
+WINDOW, LINE, AGAIN = 0, 1, 2
+_UNITS = "doc bigint, part bigint, digest bigint, kind int, word int, words int, start int, stop int"
 _EDGES = "doc bigint, part bigint, word int, side int, near array<int>, offsets array<int>"
 
 
@@ -58,14 +63,33 @@ def _unit_rows(line_words: int, gram: int):
         long = last - first >= line_words
         first, last = first[long], last[long]
         windows = chosen_windows(md5.of(texts), texts.text, gram)
-        start, end = np.concatenate([first, windows]), np.concatenate([last, windows + gram])
-        is_line = np.arange(len(start)) < len(first)
-        digest = mix(sums.of(start, end) + (end - start).astype(np.uint64) * np.uint64(2) + is_line.astype(np.uint64))
-        own = texts.text[start]
+        value = mix(sums.of(windows, windows + gram) + np.uint64(2 * gram))
+        # Occurrences of a window in a text, each after the one before it.
+        order = np.lexsort((windows, value, texts.text[windows]))
+        at = windows[order]
+        twice = np.flatnonzero((value[order][1:] == value[order][:-1]) & (texts.text[at[1:]] == texts.text[at[:-1]])) + 1
+        single = np.ones(len(windows), bool)
+        single[order[twice]] = False
+        own, back = at[twice], at[twice] - at[twice - 1]
+        order = np.lexsort((own, back, texts.text[own]))
+        own, back = own[order], back[order]
+        begins = np.ones(len(own), bool)
+        begins[1:] = (np.diff(own) > gram) | (back[1:] != back[:-1]) | (texts.text[own[1:]] != texts.text[own[:-1]])
+        low = np.flatnonzero(begins)
+        high = np.append(low[1:], len(own)).astype(np.int64)[: len(low)] - 1
+
+        singles = windows[single]
+        start = np.concatenate([singles, first, own[low]])
+        kind = np.repeat([WINDOW, LINE, AGAIN], [len(singles), len(first), len(low)])
+        lines = mix(sums.of(first, last) + (last - first).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        digest = np.concatenate([value[single], lines, np.zeros(len(low), np.uint64)])
+        text = texts.text[start]
+        none = np.zeros(len(singles), np.int64)
+        words = np.concatenate([none + gram, last - first, own[high] - texts.first[texts.text[own[high]]]])
         # Offsets of windows come with their edges later.
-        begin, stop = np.where(is_line, texts.begin[start], 0), np.where(is_line, texts.stop[end - 1], 0)
-        numbers = [(start - texts.first[own]), end - start, begin, stop]
-        return pa.RecordBatch.from_arrays([pa.array(docs[own]), pa.array(parts[own]), pa.array(digest.view(np.int64)), pa.array(is_line), *(pa.array(x.astype(np.int32)) for x in numbers)], names=[x.split()[0] for x in _UNITS.split(", ")])
+        begin, stop = np.concatenate([none, texts.begin[first], -back[low]]), np.concatenate([none, texts.stop[last - 1], np.zeros(len(low), np.int64)])
+        numbers = [kind, start - texts.first[text], words, begin, stop]
+        return pa.RecordBatch.from_arrays([pa.array(docs[text]), pa.array(parts[text]), pa.array(digest.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in numbers)], names=[x.split()[0] for x in _UNITS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         md5 = Md5Words()
@@ -138,19 +162,22 @@ def _spans(source: DataFrame, line_words: int, gram: int, broadcast_rows: int, s
     """doc, part, word, end, start, stop, first_doc of what is removed; *source* has doc, part and body."""
     every = scratch.keep(source.mapInArrow(_unit_rows(line_words, gram), _UNITS), "units")
     place = F.struct("doc", "part", "word")
-    known = every.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+    grouped = every.where(F.col("kind") != AGAIN)
+    known = grouped.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
     known = scratch.keep(known.select("digest", F.col("first.doc").alias("first_doc"), F.col("first.part").alias("first_part"), F.col("first.word").alias("first_word")), "known")
-    again = every.join(known, "digest").where("doc > first_doc or (doc = first_doc and (part > first_part or (part = first_part and word > first_word)))")
+    again = grouped.join(known, "digest").where("doc > first_doc or (doc = first_doc and (part > first_part or (part = first_part and word > first_word)))")
     again = scratch.keep(again.drop("digest"), "again")
-    lines = again.where("line").select("doc", "part", "word", (F.col("word") + F.col("words")).alias("end"), "start", "stop", "first_doc")
+    lines = again.where(F.col("kind") == LINE).select("doc", "part", "word", (F.col("word") + F.col("words")).alias("end"), "start", "stop", "first_doc")
 
     # Windows whose alignment stays the same and that leave no gap are one run.
     aligned = ["doc", "part", "first_doc", "first_part", "shift"]
-    windows = again.where("not line").withColumn("shift", F.col("first_word") - F.col("word"))
+    windows = again.where(F.col("kind") == WINDOW).withColumn("shift", F.col("first_word") - F.col("word"))
     by_word = Window.partitionBy(*aligned).orderBy("word")
     begins = F.when(F.col("word") - F.lag("word").over(by_word) <= gram, 0).otherwise(1)
     runs = windows.withColumn("begins", begins).withColumn("run", F.sum("begins").over(by_word))
-    runs = scratch.keep(runs.groupBy(*aligned, "run").agg(F.min("word").alias("low"), F.max("word").alias("high")), "runs")
+    runs = runs.groupBy(*aligned, "run").agg(F.min("word").alias("low"), F.max("word").alias("high"))
+    own = every.where(F.col("kind") == AGAIN).select("doc", "part", F.col("doc").alias("first_doc"), F.col("part").alias("first_part"), F.col("start").alias("shift"), (-F.col("word") - 1).cast("long").alias("run"), F.col("word").alias("low"), F.col("words").alias("high"))
+    runs = scratch.keep(runs.withColumn("run", F.col("run").cast("long")).unionByName(own), "runs")
 
     sides = F.explode(F.array(*(F.struct(F.lit(side).alias("side"), F.col(c).alias("word")) for side, c in ((0, "low"), (1, "high")))))
     edges = runs.select(*aligned, "run", sides.alias("e")).select(*aligned, "run", "e.side", "e.word", (F.col("e.word") + F.col("shift")).alias("first_word"))
