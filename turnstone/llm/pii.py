@@ -4,7 +4,8 @@ Base patterns find e-mail addresses, IP addresses, card and telephone numbers
 with exact checks.  High-recall generators propose further, overlapping
 spans: number groups, long mixed tokens, values assigned to secret names and
 spelled-out addresses.  Boosted trees judge each candidate by its format and
-context; thresholds calibrated on held-out data select those to add.
+context; thresholds of each kind, calibrated on lines of another generator,
+select those to add.
 
 The trees are trained on a seeded synthetic sample of TRAIN_ROWS lines, whose
 features come from the very expressions that serve in production.  Their sum
@@ -41,13 +42,18 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
     "card": r"[0-9][0-9\x20-]*[0-9]",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?i)(?:(?<=(?:token|key|secret|password|passwd|pwd|bearer|auth)[\"']{0,1}\x20{0,1}[:=]\x20{0,1}[\"']{0,1})[^\s\"',;]{6,200}|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])[A-Za-z0-9+/_=-]{16,200}(?![A-Za-z0-9+/_=-]))",
-    "number": r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().\-/]{0,2}[0-9]){5,40}(?![0-9A-Za-z])",
-    "address": r"(?i)(?<![a-z0-9._-])[a-z0-9._-]{1,64}\x20?[\[(]?(?:\x20at\x20|@|\(at\)|\[at\])[\])]?\x20?[a-z0-9-]{1,64}\x20?[\[(]?(?:\x20dot\x20|\(dot\)|\[dot\])[\])]?\x20?[a-z]{2,12}",
+    "secret": r"(?i)(?:(?<=(?:token|key|secret|password|passwd|pwd|bearer|auth)[\"']{0,1}\x20{0,1}[:=]\x20{0,1}[\"']{0,1})[^\s\"',;]{6,}|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,})",
+    "number": r"(?<![0-9A-Za-z])[+(]?[0-9][0-9\x20().\-/]{4,}[0-9](?![0-9A-Za-z])",
+    "address": r"(?i)(?<![a-z0-9._-])[a-z0-9._-]+\x20?(?:\x20at\x20|@|\(at\)|\[at\])\x20?[a-z0-9-]+(?:\x20?(?:\x20dot\x20|\(dot\)|\[dot\])\x20?[a-z0-9-]+){1,126}",
 }
 #: Dots next to a dot may stand in an address's name, not in its host; a card's
 #: separators stand alone.  Replacements keep every position.
-_PREPARE = {"email": (r"\.(?=\.)|(?<=\.)\.", "\u0004"), "card": (r"[\x20-](?=[\x20-])|(?<=[\x20-])[\x20-]", "\u0003")}
+#: More than two separators in a row end a number.  A host has 127 labels at most.
+_PREPARE = {
+    "email": (r"\.(?=\.)|(?<=\.)\.", "\u0004"),
+    "card": (r"[\x20-](?=[\x20-])|(?<=[\x20-])[\x20-]", "\u0003"),
+    "number": (r"[\x20().\-/](?=[\x20().\-/]{2})|(?<=[\x20().\-/])[\x20().\-/](?=[\x20().\-/])|(?<=[\x20().\-/]{2})[\x20().\-/]", "\u0003"),
+}
 #: Cheap tests that a text must pass before its pattern is tried.
 GATES = {
     "email": lambda t: F.contains(t, F.lit("@")),
@@ -56,7 +62,7 @@ GATES = {
     "phone": lambda t: t.rlike(r"\+[0-9]"),
     "secret": lambda t: t.rlike(r"[:=]\x20?[\"']?[^\s\"',;]{6}|[0-9]"),
     "number": lambda t: t.rlike(r"[0-9](?:[\x20().\-/]{0,2}[0-9]){5}"),
-    "address": lambda t: t.rlike(r"(?i)(?:\x20|\(|\[)at(?:\x20|\)|\]).{0,80}dot"),
+    "address": lambda t: t.rlike(r"(?i)@|[\x20(\[]at[\x20)\]]") & t.rlike(r"(?i)[\x20(\[]dot[\x20)\]]"),
 }
 
 
@@ -67,26 +73,46 @@ def _parts(text: Column, kind: str) -> Column:
     return F.when(GATES[kind](text), F.split(marked, f"[{_OPEN}{_CLOSE}]"))
 
 
+def _let(value: Column, body: "callable") -> Column:
+    """*body* of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Elements that are combined anew for each of them, between stored running values.
+_BLOCK = 32
+
+
+def _running(values: Column, combine: "callable", zero: Column) -> Column:
+    """The running combination of an array of ints, each with its own element.
+
+    An array that a fold appends to is copied at every step, so only one value
+    in _BLOCK is appended.
+    """
+    block = lambda i: F.floor(i / _BLOCK).cast("int")
+    part = lambda v, c, n: F.slice(v, c * _BLOCK + 1, n)
+
+    def of(v: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), block(F.size(v))), lambda c: F.aggregate(part(v, c, F.lit(_BLOCK)), zero, combine))
+        before = F.aggregate(sums, F.array(zero), lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), x))))
+        return _let(before, lambda b: F.transform(v, lambda _, i: F.aggregate(part(v, block(i), i % _BLOCK + 1), F.get(b, block(i)), combine)))
+
+    return _let(values, of)
+
+
 def _spans(parts: Column, accept: "callable") -> Column:
     """(start, end, value, before, after) of the accepted matches, in code points."""
-    start = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("i"), F.array().cast("array<struct<i:int,pos:int>>").alias("found"))
-
-    def step(acc: Column, part: Column) -> Column:
-        hit = (acc["i"] % 2 == 1) & accept(part)
-        found = F.when(hit, F.concat(acc["found"], F.array(F.struct(acc["i"].alias("i"), acc["pos"].alias("pos"))))).otherwise(acc["found"])
-        return F.struct((acc["pos"] + F.length(part)).alias("pos"), (acc["i"] + 1).alias("i"), found.alias("found"))
-
-    found = F.aggregate(parts, start, step)["found"]
-    return F.transform(
-        found,
-        lambda f: F.struct(
-            f["pos"].alias("start"),
-            (f["pos"] + F.length(F.get(parts, f["i"]))).alias("end"),
-            F.get(parts, f["i"]).alias("value"),
-            F.right(F.get(parts, f["i"] - 1), F.lit(24)).alias("before"),
-            F.left(F.get(parts, f["i"] + 1), F.lit(8)).alias("after"),
-        ),
-    )
+    hits = F.filter(F.transform(parts, lambda p, i: F.when((i % 2 == 1) & accept(p), i)), lambda i: i.isNotNull())
+
+    def listed(found: Column) -> Column:
+        ends = _running(F.transform(parts, lambda p: F.length(p)), lambda a, b: a + b, F.lit(0))
+
+        def span(e: Column, i: Column) -> Column:
+            value = F.get(parts, i)
+            return F.struct((F.get(e, i) - F.length(value)).alias("start"), F.get(e, i).alias("end"), value.alias("value"), F.right(F.get(parts, i - 1), F.lit(24)).alias("before"), F.left(F.get(parts, i + 1), F.lit(8)).alias("after"))
+
+        return F.when(F.size(found) > 0, _let(ends, lambda e: F.transform(found, lambda i: span(e, i))))
+
+    return _let(hits, listed)
 
 
 def _digits(x: Column) -> Column:
@@ -118,7 +144,7 @@ ACCEPT = {
     "card": _valid_card,
     "phone": lambda x: F.length(_digits(x)).between(9, 15),
     "secret": lambda x: F.lit(True),
-    "number": lambda x: F.lit(True),
+    "number": lambda x: F.length(_digits(x)) >= 6,
     "address": lambda x: F.lit(True),
 }
 
@@ -210,12 +236,21 @@ def boost(x: np.ndarray, y: np.ndarray) -> list[tuple | float]:
 
 
 def calibrate(score: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> float:
-    """The least threshold at and above which held-out candidates reach *precision*."""
+    """A threshold above which candidates not trained on reach *precision*.
+
+    It lies midway between the least score taken and the greatest left out, at
+    the least score where none is left out; infinite where nothing reaches
+    the precision.
+    """
     order = np.argsort(-score, kind="stable")
+    ranked = score[order]
     hits = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    last_of_tie = np.append(score[order][1:] != score[order][:-1], True) if len(y) else np.zeros(0, bool)
+    last_of_tie = np.append(ranked[1:] != ranked[:-1], True) if len(y) else np.zeros(0, bool)
     good = np.flatnonzero((hits >= precision) & last_of_tie)
-    return float(score[order][good[-1]]) if len(good) else float("inf")
+    if not len(good):
+        return float("inf")
+    upto = good[-1]
+    return float(ranked[upto] if upto + 1 == len(ranked) else (ranked[upto] + ranked[upto + 1]) / 2)
 
 
 def _as_column(tree: tuple | float, features: Column) -> Column:
@@ -268,23 +303,67 @@ def training_lines(rows: int = TRAIN_ROWS, seed: int = 7) -> list[tuple[str, int
     return out
 
 
-_models: dict[int, tuple[list, float]] = {}
+def calibration_lines(rows: int = TRAIN_ROWS // 3, seed: int = 70) -> list[tuple[str, int, int]]:
+    """Lines as ``training_lines`` makes, of formats and contexts that those do not have."""
+    r = random.Random(seed)
+    pick = lambda a, n: "".join(r.choice(a) for _ in range(n))
+    digits = lambda n: pick("0123456789", n)
+    word = lambda: pick("aeiourstlnmkpd", r.randint(2, 9))
+    capitals, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    personal = [
+        lambda: (r.choice(["export API_TOKEN=", "Authorization: Bearer: ", "client_secret: ", "--password="]), pick(mixed + "-_", r.randint(20, 300)), ""),
+        lambda: ("", r.choice(["ghp_", "sk-", "xoxb-"]) + pick(mixed, 35) + "7a", ""),
+        lambda: (r.choice(["ring ", "Tel ", "my mobile is ", "fax: "]), f"{digits(4)} {digits(3)} {digits(3)}", ""),
+        lambda: (r.choice(["ring ", "contact ", ""]), f"({digits(3)}){digits(3)}-{digits(4)}", ""),
+        lambda: (r.choice(["paid by card ", "account "]), f"{digits(4)}-{digits(4)}-{digits(4)}-{digits(4)}", ""),
+        lambda: ("my social security number is ", f"{digits(3)} {digits(2)} {digits(4)}", ""),
+        lambda: ("reach me: ", f"{word()}.{word()} (at) {word()} (dot) {r.choice(['de', 'net'])}", ""),
+        lambda: ("reach me: ", f"{word()}@{word()} dot {word()} dot com", ""),
+    ]
+    other = [
+        lambda: ("logged ", f"20{digits(2)}-0{r.randint(1, 9)}-1{r.randint(0, 9)} 1{digits(1)}", ""),
+        lambda: ("sold ", f"{r.randint(1, 9)}.{digits(3)}.{digits(3)}", ""),
+        lambda: ("see ISBN ", f"978 {digits(1)} {digits(3)} {digits(5)} {digits(1)}", ""),
+        lambda: ("order no. ", digits(r.randint(6, 9)), ""),
+        lambda: ("http://", f"{word()}/{word()}/{digits(4)}/{word()}-{word()}", ""),
+        lambda: ("", f"{word()}_{word()}_{word()}_v{r.randint(1, 99)}", ""),
+        lambda: ("git commit ", pick("0123456789abcdef", 40), ""),
+        lambda: ("the password: ", f"{word()}ing{word()}", ""),
+        lambda: ("we meet at ", f"{word()} and each {word()} dot {word()}", ""),
+    ]
+    out = []
+    for _ in range(rows):
+        good = r.random() < 0.5
+        pre, value, post = r.choice(personal if good else other)()
+        lead = " ".join(word() for _ in range(r.randint(1, 5))) + " "
+        out.append((f"{lead}{pre}{value}{post} {word()} {pick(capitals, 1)}{word()}", len(lead + pre) if good else 0, len(lead + pre + value) if good else 0))
+    return out
 
 
-def trained(spark: SparkSession, seed: int = 7) -> tuple[list[tuple | float], float]:
-    """Trees and threshold, trained once in a process from at most TRAIN_ROWS lines."""
+_models: dict[int, tuple[list, list[float]]] = {}
+
+
+def _candidates(spark: SparkSession, lines: list[tuple[str, int, int]]) -> np.ndarray:
+    """A row per candidate in *lines*: whether it is personal data, then its features."""
+    frame = spark.createDataFrame([(i, *x) for i, x in enumerate(lines)], "row int, text string, start int, end int")
+    found = _with_spans(frame, "text", KINDS[len(BASE_KINDS) :], "s")
+    each = reduce(DataFrame.unionAll, [found.select("row", F.lit(k).alias("k"), "start", "end", F.explode_outer(f"s.{name}").alias("c")) for k, name in enumerate(KINDS[len(BASE_KINDS) :])]).where("c is not null")
+    overlap = F.least("end", F.col("c.end")) - F.greatest("start", F.col("c.start"))
+    each = each.select("row", (overlap * 2 > F.greatest(F.col("end") - F.col("start"), F.col("c.end") - F.col("c.start"))).cast("int").alias("y"), *(x.alias(n) for n, x in _features(F.col("c"), F.col("k"))))
+    return np.array([tuple(r)[1:] for r in each.orderBy("row", "kind", "length").collect()], np.int64)
+
+
+def trained(spark: SparkSession, seed: int = 7) -> tuple[list[tuple | float], list[float]]:
+    """Trees and one threshold a kind, made once in a process.
+
+    The trees learn from TRAIN_ROWS lines; the thresholds are calibrated on
+    lines of another generator.
+    """
     if seed not in _models:
-        lines = spark.createDataFrame([(i, *x) for i, x in enumerate(training_lines(seed=seed))], "row int, text string, start int, end int")
-        found = _with_spans(lines, "text", KINDS[len(BASE_KINDS) :], "s")
-        each = reduce(DataFrame.unionAll, [found.select("row", F.lit(k).alias("k"), "start", "end", F.explode_outer(f"s.{name}").alias("c")) for k, name in enumerate(KINDS[len(BASE_KINDS) :])]).where("c is not null")
-        overlap = F.least("end", F.col("c.end")) - F.greatest("start", F.col("c.start"))
-        each = each.select("row", (overlap * 2 > F.greatest(F.col("end") - F.col("start"), F.col("c.end") - F.col("c.start"))).cast("int").alias("y"), *(x.alias(n) for n, x in _features(F.col("c"), F.col("k"))))
-        table = np.array([tuple(r) for r in each.orderBy("row", "k", "length").collect()], np.int64)
-        held = table[:, 0] % 10 >= 7
-        x, y = table[:, 2:], table[:, 1].astype(float)
-        trees = boost(x[~held], y[~held])
-        # Never below even odds, however easy the held-out lines are.
-        _models[seed] = trees, max(0.0, calibrate(sum(_value(t, x[held]) for t in trees), y[held]))
+        table, held = _candidates(spark, training_lines(seed=seed)), _candidates(spark, calibration_lines(seed=10 * seed))
+        trees = boost(table[:, 1:], table[:, 0].astype(float))
+        score, y, kind = sum(_value(t, held[:, 1:]) for t in trees), held[:, 0].astype(float), held[:, 1]
+        _models[seed] = trees, [calibrate(score[kind == k], y[kind == k]) for k in range(len(KINDS) - len(BASE_KINDS))]
     return _models[seed]
 
 
@@ -294,15 +373,15 @@ def find_pii(docs: DataFrame, text_col: str = "text", *, into: str = "pii") -> D
     A span has ``start`` and ``end`` (code points, end exclusive), ``rank`` and
     ``kind``, the kind's place in KINDS and its name; spans are ordered by start, then
     kind.  Base kinds are exact and may overlap one another.  A selected
-    candidate is added unless it overlaps a base span; of overlapping
-    candidates the first, then the longest, is added.
+    candidate is added unless it overlaps a base span; candidates that overlap
+    one another are added as one span of the first one's kind.
 
     Null and empty texts have no spans.  Texts of any length are searched
     whole.  Repeated rows are treated alike, an empty table gives an empty
     one, and a column already called *into* makes the new one ``_into``.
     """
     into = free_name(docs, into)
-    trees, threshold = trained(docs.sparkSession)
+    trees, thresholds = trained(docs.sparkSession)
     found = _with_spans(docs, text_col, KINDS, into)
     f = lambda k: F.col(f"{into}.{k}")
     ranked = lambda i, k: F.transform(f(k), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(i).alias("rank"), F.lit(k).alias("kind")))
@@ -318,14 +397,33 @@ def find_pii(docs: DataFrame, text_col: str = "text", *, into: str = "pii") -> D
     base_name, extra_name = free_name(docs, "_base"), free_name(docs, "_extra")
     step = found.select(*docs.columns, base.alias(base_name), extra.alias(extra_name))
     total = lambda s: reduce(lambda a, b: a + b, (_as_column(t, s["features"]) for t in trees))
-    plain = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"), s["kind"].alias("kind"))
-    clear = lambda s: ~F.exists(F.col(base_name), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    chosen = F.filter(F.filter(extra_name, clear), lambda s: total(s) >= threshold) if np.isfinite(threshold) else F.filter(extra_name, lambda s: F.lit(False))
-    ordered = F.transform(F.array_sort(F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["rank"].alias("rank"), s["kind"].alias("kind")))), lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end"), s["rank"].alias("rank"), s["kind"].alias("kind")))
-    step = step.select(*docs.columns, base_name, ordered.alias(extra_name))
+
+    def selected(s: Column) -> Column:
+        limit = F.lit(1e300)
+        for k, threshold in enumerate(thresholds):
+            limit = F.when(s["rank"] == len(BASE_KINDS) + k, F.lit(min(threshold, 1e300))).otherwise(limit)
+        return total(s) >= limit
+
+    def _listed(s: Column, extra: int) -> Column:
+        return F.struct(s["start"].alias("start"), F.lit(extra).alias("extra"), (-s["end"]).alias("back"), s["rank"].alias("rank"), s["kind"].alias("kind"))
+
+    listed = F.array_sort(F.concat(F.transform(base_name, lambda s: _listed(s, 0)), F.transform(F.filter(extra_name, selected), lambda s: _listed(s, 1))))
+    step = evaluated(step.select(*docs.columns, base_name, listed.alias(extra_name)), extra_name)
+    far = F.lit((1 << 31) - 1)
+    all_ = F.col(extra_name)
+    reach = _running(F.transform(all_, lambda s: F.when(s["extra"] == 0, -s["back"]).otherwise(-1)), lambda a, b: F.greatest(a, b), F.lit(-1))
+    ahead = F.reverse(_running(F.reverse(F.transform(all_, lambda s: F.when(s["extra"] == 0, s["start"]).otherwise(far))), lambda a, b: F.least(a, b), far))
+    clear = _let(reach, lambda r: _let(ahead, lambda n: F.filter(all_, lambda s, i: (s["extra"] == 1) & (F.get(r, i) <= s["start"]) & (F.get(n, i) >= -s["back"]))))
     none = F.array().cast("array<struct<start:int,end:int,rank:int,kind:string>>")
-    apart = F.aggregate(F.col(extra_name), none, lambda acc, s: F.when(F.coalesce(F.get(acc, F.size(acc) - 1)["end"] <= s["start"], F.lit(True)), F.concat(acc, F.array(plain(s)))).otherwise(acc))
-    apart = F.when(F.size(extra_name) > 0, apart).otherwise(none)
+    has_extra = F.exists(all_, lambda s: s["extra"] == 1)
+    step = evaluated(step.select(*docs.columns, base_name, F.when(has_extra, clear).alias(extra_name)), extra_name)
+
+    def joined(ends: Column) -> Column:
+        first = F.filter(F.transform(all_, lambda s, i: F.when((i == 0) | (F.get(ends, i - 1) <= s["start"]), i)), lambda i: i.isNotNull())
+        one = lambda f, i, t: F.struct(F.get(all_, i)["start"].alias("start"), F.get(ends, F.coalesce(F.get(f, t + 1), F.size(all_)) - 1).alias("end"), F.get(all_, i)["rank"].alias("rank"), F.get(all_, i)["kind"].alias("kind"))
+        return _let(first, lambda f: F.transform(f, lambda i, t: one(f, i, t)))
+
+    apart = F.when(F.size(all_) > 0, _let(_running(F.transform(all_, lambda s: -s["back"]), lambda a, b: F.greatest(a, b), F.lit(0)), joined)).otherwise(none)
     by_place = lambda a: F.transform(F.array_sort(F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"), s["kind"].alias("kind")))
     return step.select(*docs.columns, by_place(F.concat(F.col(base_name), apart)).alias(into))
 
@@ -343,8 +441,8 @@ def redact(docs: DataFrame, text_col: str = "text", into: str = "pii") -> DataFr
 
 
 def digest(found: DataFrame, id_col: str = "doc_id", into: str = "pii") -> DataFrame:
-    """Counts, the hash of the base spans and all spans as text, by document."""
+    """Counts by kind and of all spans, the hash of the base spans and all spans as text, by document."""
     count = lambda k: F.size(F.filter(into, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     listed = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter(into, lambda s: s["rank"] < len(BASE_KINDS))
-    return found.select(id_col, *(count(k) for k in BASE_KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col(into)).alias("spans"))
+    return found.select(id_col, *(count(k) for k in KINDS), F.size(into).cast("long").alias("n_spans"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col(into)).alias("spans"))
