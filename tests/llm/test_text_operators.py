@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from turnstone.llm import decontaminate, html_text, license_scan, mixing, quality_model, quality_rules, queries, substring_dedup, token_output
+from turnstone.llm import mixing, quality_model, quality_rules, token_output
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -71,105 +71,6 @@ def test_mixing_empty(empty):
     assert mixing.mix_sources(empty, F.lit("d"), {}).count() == 0
 
 
-ITEM = "A farmer has 12 apples and gives 5 apples to Maria , then Maria buys 12 more pears at the village market for 3 dollars ."
-
-
-def test_decontamination(spark, empty):
-    bench = spark.createDataFrame([(1, ITEM), (2, None), (3, "too short"), (None, "a b c d e f g h i j k l")], "item_id long, text string")
-    again = ITEM.replace("12", "30").replace("5 ", "9 ").replace("Maria", "Peter")
-    mixed = ITEM.replace("12 apples", "30 apples").replace("Maria ,", "Peter ,")
-    filler = " ".join(f"word{i % 7}x" for i in range(40))
-    rows = [(1, f"Lead in words {ITEM} {filler}"), (2, f"lead {again} {filler}"), (3, filler), (4, None), (5, ""), (6, ITEM.upper()), (None, ITEM)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in decontaminate.contaminated(docs, bench).collect()}
-    assert {1, 2} <= set(got) <= {1, 2, 6} and all(r.item_id == 1 for r in got.values())
-    assert got[2].reparameterised and not got[1].reparameterised
-    clean = {r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()}
-    assert {3, 4, 5, None} <= clean and not {1, 2} & clean
-    loose = spark.createDataFrame([(7, mixed)], "doc_id long, text string")
-    assert decontaminate.contaminated(loose, bench).count() <= 1
-    assert decontaminate.contaminated(empty, bench).count() == 0
-    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
-
-
-def test_repeats_and_cut(spark, docs, empty):
-    passage = " ".join(f"w{i}x{i * i}" for i in range(30)) + ". " + " ".join(f"v{i}y{i * 3}" for i in range(30)) + "."
-    rows = [(5, f"Start of five {passage} end."), (2, passage), (9, f"x\n{passage}\ny"), (10, None), (11, ""), (12, "short line"), (13, "short line"), (None, passage)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    spans = substring_dedup.repeated_spans(frame).collect()
-    assert {r.doc_id for r in spans} == {5, 9} and {r.first_doc_id for r in spans} == {2}
-    text = dict(rows)
-    assert all(text[r.doc_id][r.start : r.stop].count(" ") + 1 == r.n_words for r in spans)
-    cut = {r.doc_id: r.text for r in substring_dedup.remove_repeats(frame).collect()}
-    assert cut[2] == passage and cut[9] == "x\n\ny" and cut[10] is None and cut[11] == "" and cut[13] == "short line"
-    assert substring_dedup.repeated_spans(empty).count() == 0
-    assert substring_dedup.repeated_spans(docs).where("doc_id = 7").count() >= 1
-
-
-def test_every_long_passage_is_found(spark):
-    """Each word of a window of 51 words that an earlier place has, by a dictionary of all windows."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    extra = " ".join(f"r{i}" for i in range(51))
-    rows = [(10**6, f"zero one {extra} two"), (10**6 + 1, f"three {extra} four"), (10**6 + 2, f"{extra}"), (10**6 + 3, " ".join(extra.split()[20:46]))]
-    docs = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
-    seen, want = set(), {}
-    for r in docs.orderBy("doc_id").collect():
-        at = [m.span() for m in SPLIT.finditer(r.text or "")]
-        w = [r.text[a:b].lower() for a, b in at]
-        inside = set()
-        for i in range(len(w) - 50):
-            key = hash(tuple(w[i : i + 51]))
-            if key in seen:
-                inside.update(range(i, i + 51))
-            seen.add(key)
-        want[r.doc_id] = {at[i] for i in inside}
-    spans = collections.defaultdict(list)
-    for r in substring_dedup.repeated_spans(docs).collect():
-        spans[r.doc_id].append((r.start, r.stop))
-    missed = {d: sum(not any(s <= a and b <= e for s, e in spans[d]) for a, b in words) for d, words in want.items()}
-    assert sum(map(len, want.values())) > 5000 and not {d: n for d, n in missed.items() if n}
-    assert all(a[1] < b[0] for x in spans.values() for a, b in zip(sorted(x), sorted(x)[1:], strict=False))
-
-
-def test_licenses(spark, empty):
-    words = " ".join(f"q{i}" for i in range(30))
-    rows = [(1, f"{words}\nLicensed under the Apache License, Version 2.0.\n{words}"), (2, words), (3, None), (4, "Released under the MIT License."), (5, "under the MIT"), (None, "Released under the MIT License.")]
-    rows += [(6, words + " This work is licensed under the GNU General Public License, version 3. " + words)]
-    got = {(r.doc_id, r.license) for r in license_scan.license_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert {(1, "Apache-2.0"), (4, "MIT"), (6, "GPL-3.0")} <= got and {d for d, _ in got} == {1, 4, 6}
-    assert license_scan.license_matches(empty).count() == 0
-
-
-def test_licenses_match_plain_containment(spark):
-    """Every template against every window of its length, by sets."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    tokens = lambda t: [w for w in re.split(r"\s+", re.sub(r"[^\w.\s]+|_|\.(?![0-9])", " ", (t or "").lower())) if w]
-    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-    want = set()
-    for r in docs.collect():
-        w = tokens(r.text)
-        for name, text in license_scan.TEMPLATES:
-            t = tokens(text)
-            if any(len(shingles(w[i : i + len(t)]) & shingles(t)) * 100 >= 80 * len(shingles(t)) for i in range(max(1, len(w) - len(t) + 1))):
-                want.add((r.doc_id, name))
-    assert {(r.doc_id, r.license) for r in license_scan.license_matches(docs).collect()} == want and want
-
-
-def test_notices_of_the_data(spark):
-    """Every notice that stands in the documents, by plain search; and short forms."""
-    kinds = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3."}
-    kinds |= {"CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "All-rights-reserved": "All rights reserved."}
-    texts = {r.doc_id: " ".join((r.text or "").split()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
-    want = {(d, k) for d, t in texts.items() for k, notice in kinds.items() if notice in t}
-    found = {(r.doc_id, r.license) for r in queries.op4_license_scan(spark, "/root/testdata/sf0.01").collect()}
-    assert {k for _, k in want} == set(kinds) and want <= found and {x for x in found if x[1] in ("CC-BY-NC-4.0", "All-rights-reserved")} == {x for x in want if x[1] in ("CC-BY-NC-4.0", "All-rights-reserved")}
-    rows = [(1, "SPDX-License-Identifier: MIT"), (2, "all rights\nreserved"), (3, "all rights"), (4, "x SPDX-License-Identifier: LGPL-3.0-only"), (5, "under CC BY-SA 4.0, see"), (6, "CC BY"), (7, None), (8, "CC0 1.0")]
-    rows += [(9, "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"), (10, "rights reserved all")]
-    every = spark.createDataFrame([*license_scan.TEMPLATES, *license_scan.SHORT_TEMPLATES], "license string, text string")
-    got = {(r.doc_id, r.license) for r in license_scan.license_matches(spark.createDataFrame(rows, "doc_id long, text string"), every).collect()}
-    assert got == {(1, "MIT"), (2, "All-rights-reserved"), (4, "LGPL-3.0"), (5, "CC-BY-SA-4.0"), (8, "CC0-1.0"), (9, "AGPL-3.0")}
-
-
 def test_tokens_round_trip(spark, docs, empty, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -200,15 +101,3 @@ def test_classifier_on_labels(spark, docs, empty):
     rows = quality_model.classify_quality(docs).collect()
     assert len(rows) == docs.count() and not any(r.kept for r in rows if r.n_words == 0)
     assert quality_model.classify_quality(empty).count() == 0
-
-
-def test_pages(spark):
-    page = (
-        "<html><head><title>T</title><style>p{}</style></head><body><nav><a href=/>Home</a></nav><div class='sidebar'><p>Side text that is long enough to look like content.</p></div>"
-        "<article><h1>Head &amp; line</h1><p>First paragraph,\n with <b>bold</b> words and more.<p>Second one<br>goes on for a while.</article>"
-        "<section id=comments><p>A reader says something at length here, with many words.</p></section><script>var x='<p>no</p>'</script><footer>&copy; us</footer>"
-    )
-    rows = [(1, "u", page), (2, None, None), (3, "u", ""), (4, "u", "<nav><a>x</a></nav>"), (None, "u", "<p>plain"), (5, "u", "no tags at all"), (6, "u", "<div " * 50)]
-    got = {r.page_id: r for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got[1].text == "Head & line\n\nFirst paragraph, with bold words and more.\n\nSecond one goes on for a while."
-    assert got[1].n_chars == len(got[1].text) and got[2].text == got[3].text == "" and got[None].text == "plain" and got[5].text == "no tags at all"

@@ -83,6 +83,21 @@ def _clean_up() -> None:
 atexit.register(_clean_up)
 
 
+def sample_rows(source: DataFrame, most: int, seed: int, total: int) -> DataFrame:
+    """At most *most* rows of *source* (doc, body), the first by a seeded hash of the id and the text's length.
+
+    Hashes alone are ordered; texts are read again for those chosen.  *total*
+    is about the number of rows.  Rows of one hash count once.
+    """
+    place = F.xxhash64(F.lit(seed), "doc", F.length("body"))
+    share = min(1.0, 1.5 * most / max(total, 1))
+    rough = min(int((2 * share - 1) * (1 << 63)), (1 << 63) - 1)
+    last = source.select(place.alias("place")).where(F.col("place") <= rough).distinct().orderBy("place").limit(most).agg(F.max("place")).first()[0]
+    if last is None:
+        return source.limit(0)
+    return source.withColumn("place", place).where(F.col("place") <= last).dropDuplicates(["place"]).drop("place")
+
+
 def split_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; an empty array for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), lambda w: w != "")

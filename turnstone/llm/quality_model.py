@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import sample_rows, slices
 
 #: Labellers, in the order of a pattern's base-3 digits (0 abstain, 1 bad, 2 good).
 LABELLERS = ("symbols", "capitals", "repeats", "stutters", "lines", "word_length", "prose", "sentences", "variety")
@@ -201,10 +201,7 @@ def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     order = np.argsort(patterns)
     patterns, counts = patterns[order], counts[order]
     posterior = dict(zip(patterns.tolist(), fit_labellers(patterns, counts)[2].tolist() if len(patterns) else [], strict=True))
-    share = min(1.0, 1.5 * sample_docs / max(counts.sum(), 1))
-    bound = min(int((2 * share - 1) * (1 << 63)), (1 << 63) - 1)
-    place = F.xxhash64(F.lit(seed), "doc", F.length("body"))
-    sample = source.where(place <= bound).orderBy(place, "doc").limit(sample_docs).mapInArrow(_sampled, "pattern int, bins array<bigint>, values array<double>").collect()
+    sample = sample_rows(source, sample_docs, seed, int(counts.sum())).mapInArrow(_sampled, "pattern int, bins array<bigint>, values array<double>").collect()
     weights = fit_scorer([(np.array(r.bins), np.array(r["values"])) for r in sample], np.array([posterior[r.pattern] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

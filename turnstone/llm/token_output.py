@@ -25,8 +25,8 @@ protocol and reaches any store that Spark reaches.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,12 +38,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import sample_rows, slices
+from .wordarrays import Texts
 
 MAGIC = b"TSTOKID1"
 END_ID = 1
-#: Bound of the dictionary's training sample, in documents, and its size.
+#: Bounds of the dictionary's training sample, in documents and characters of each, and its size.
 SAMPLE_DOCS = 1000
+SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 4 << 20
 SHARD_DOCS = 8192
@@ -52,71 +54,125 @@ RAW_BYTES = 32 << 20
 LEVEL = 3
 
 
+#: Fixed value: the split pattern of vocabularies whose tokens never reach over white space.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_space(config: dict) -> bool:
+    """Whether a tokenizer gives a text the ids of its words, one after the other.
+
+    That holds if its normaliser and pre-tokenizer look at nothing beyond white
+    space, drop it, and nothing is added, cut or joined afterwards.
+    """
+    steps = lambda x, key: [] if x is None else x[key] if x["type"] == "Sequence" else [x]
+    normal = [(n["type"], n.get("pattern"), n.get("content")) for n in steps(config["normalizer"], "normalizers")]
+    known = [("NFC", None, None), ("Lowercase", None, None)]
+    spaces = [n for n in normal if n not in known]
+    split = steps(config["pre_tokenizer"], "pretokenizers")
+    return (
+        all(n[0] == "Replace" and n[1] == {"Regex": r"\s+"} and n[2] == " " for n in spaces)
+        and len(split) == 2
+        and (split[0]["type"], split[0].get("pattern"), split[0].get("behavior"), split[0].get("invert")) == ("Split", {"Regex": WORD_PATTERN}, "Removed", True)
+        and (split[1]["type"], split[1].get("add_prefix_space"), split[1].get("use_regex")) == ("ByteLevel", False, False)
+        and config["model"]["type"] == "BPE"
+        and not config["model"].get("dropout")
+        and not any(config.get(k) for k in ("post_processor", "truncation", "padding"))
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or len(t["content"].split()) != 1 for t in config["added_tokens"])
+    )
+
+
 class Encoder:
     """Serialised ids of texts, without special tokens, then the end id.
 
-    The tokenizer joins nothing over white space, nor a letter with the mark
-    after it, so texts are cut there and the ids of each piece are remembered.
-    Unknown pieces of many texts are encoded in one call, between marks whose
-    ids are known.  Other white space stays inside pieces.  Two generations of
-    pieces are kept: the older one goes when the newer one is full.
+    Where ``splits_at_space`` holds, texts are cut into words and the ids of
+    each word are remembered; two generations are kept, and the older one goes
+    when the newer one has LIMIT words.  Unknown words of a batch are encoded in
+    one call, between marks whose ids are known.  Other tokenizers, and texts
+    that hold the string of an added token, encode whole texts.
     """
 
-    LIMIT = 350_000
+    LIMIT = 500_000
     LONGEST = 64
-    #: A control character: as a piece of its own it has fixed ids.
+    #: A control character: as a word of its own it has fixed ids.
     MARK = "\x01"
-    EDGE = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=[ \n]|\Z)")
 
     def __init__(self, path: str, end_id: int = END_ID):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = end_id.to_bytes(4, "little")
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.mark = self.ids(self.MARK)
-
-    def ids(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
-
-    def pieces(self, text: str) -> list[str]:
-        if text.isascii() and "<|" not in text:
-            text = text.lower()
-        return self.EDGE.sub(r" \1", text).replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
-
-    def learn(self, wanted: set[str]) -> None:
-        """Remember the ids of *wanted* pieces."""
-        if len(self.known) > self.LIMIT:
-            self.older, self.known = self.known, {"": b""}
-        fresh = []
-        for piece in wanted:
-            found = self.older.get(piece)
-            if found is not None:
-                self.known[piece] = found
-            elif len(piece) > self.LONGEST or self.MARK in piece or "<|" in piece:
-                self.known[piece] = self.ids(piece)
-            else:
-                fresh.append(piece)
-        if fresh:
-            all_ids = self.ids(f" {self.MARK} ".join(fresh))
-            parts = _split_aligned(all_ids, self.mark)
-            if len(parts) != len(fresh):
-                parts = [self.ids(p) for p in fresh]
-            self.known.update(zip(fresh, parts, strict=True))
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self.pieces(t) if t else [] for t in texts]
-        known = self.known
-        self.learn({p for pieces in cut for p in pieces if p not in known})
-        get = self.known.__getitem__
-        if self.known is not known:  # a new generation: fetch what only the older one has
-            self.learn({p for pieces in cut for p in pieces if p not in self.known})
-        return [b"".join(map(get, pieces)) + self.end for pieces in cut]
+        config = json.loads(self.tokenizer.to_str())
+        self.by_word = splits_at_space(config)
+        self.folds = any(n["type"] == "Lowercase" for n in (config["normalizer"] or {}).get("normalizers", []))
+        self.added = [t["content"].encode() for t in config["added_tokens"]]
+        self.end = np.array([end_id], np.uint32)
+        self.clear()
+        self.mark = self.ids(self.MARK).tobytes() if self.by_word else b""
+
+    def clear(self) -> None:
+        """Forget all words; place 0 holds the end id."""
+        self.places: dict[int, int] = {}
+        self.older = ({}, self.end, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.buffer, self.starts, self.counts = self.end, np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn(self, words: list[str]) -> list[np.ndarray]:
+        """The ids of words that aren't known yet."""
+        plain = [i for i, w in enumerate(words) if len(w) <= self.LONGEST and self.MARK not in w]
+        found: dict[int, np.ndarray] = {}
+        if plain:
+            parts = _split_aligned(self.ids(f" {self.MARK} ".join(words[i] for i in plain)).tobytes(), self.mark)
+            if len(parts) == len(plain):
+                found = {i: np.frombuffer(x, "<u4") for i, x in zip(plain, parts, strict=True)}
+        return [found[i] if i in found else self.ids(w) for i, w in enumerate(words)]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        if not self.by_word:
+            return self.whole(texts)
+        split = Texts(texts, places=False, fold=self.folds, stops=True)
+        keys, at, back = np.unique(split.key, return_index=True, return_inverse=True)
+        if len(self.places) > self.LIMIT:
+            older = self.places, self.buffer, self.starts, self.counts
+            self.clear()
+            self.older = older
+        wanted = keys.tolist()
+        places = [self.places.get(k, -1) for k in wanted]
+        missing = [i for i, x in enumerate(places) if x < 0]
+        if missing:
+            before, buffer, starts, counts = self.older
+            old = [before.get(wanted[i], -1) for i in missing]
+            fresh = iter(self.learn([split.word(at[i]).decode() for i, x in zip(missing, old, strict=True) if x < 0]))
+            new = [next(fresh) if x < 0 else buffer[starts[x] : starts[x] + counts[x]] for x in old]
+            for i in missing:
+                places[i] = self.places[wanted[i]] = len(self.places) + 1
+            self.buffer = np.concatenate([self.buffer, *new])
+            counts = np.array([len(x) for x in new], np.int64)
+            self.counts = np.concatenate([self.counts, counts])
+            self.starts = np.concatenate([[0], np.cumsum(self.counts)[:-1]])
+        n = len(split.counts)
+        slots = np.zeros(len(back) + n, np.int64)
+        slots[np.arange(len(back)) + split.text] = np.array(places, np.int64)[back]
+        counts = self.counts[slots]
+        ends = np.cumsum(counts)
+        index = np.repeat(self.starts[slots] - (ends - counts), counts) + np.arange(int(ends[-1]) if n else 0)
+        ids = self.buffer[index].astype("<u4")
+        bounds = np.concatenate([[0], ends[split.first[1:] + np.arange(n)]]) if n else np.zeros(1, np.int64)
+        out = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        if any(x in split.raw_bytes for x in self.added):
+            odd = [i for i in range(n) if any(x in (texts[i].as_py() or "").encode() for x in self.added)]
+            for i, raw in zip(odd, self.whole(texts.take(pa.array(odd, pa.int64()))), strict=True):
+                out[i] = raw
+        return out
+
+    def whole(self, texts: pa.Array) -> list[bytes]:
+        """Ids of whole texts, straight from the tokenizer."""
+        found = self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+        return [np.concatenate([np.asarray(x.ids, "<u4"), self.end]).astype("<u4").tobytes() for x in found]
 
     def encode(self, text: str | None) -> bytes:
-        return self.encode_all([text])[0]
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -226,7 +282,7 @@ def _shard_writer(path: str, end_id: int, dictionary: bytes, shard_bytes: int, s
         for batch in batches:
             for start, end in slices(batch.num_rows, 256):
                 piece = batch.slice(start, end - start)
-                for doc, raw in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1).to_pylist()), strict=True):
+                for doc, raw in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1)), strict=True):
                     frame = writer.compress(raw)
                     ids.append(doc)
                     frames.append(frame)
@@ -249,6 +305,7 @@ def write_tokens(
     *,
     end_id: int = END_ID,
     sample_docs: int = SAMPLE_DOCS,
+    sample_chars: int = SAMPLE_CHARS,
     dictionary_bytes: int = DICTIONARY_BYTES,
     shard_bytes: int = SHARD_BYTES,
     shard_docs: int = SHARD_DOCS,
@@ -261,8 +318,9 @@ def write_tokens(
     first; those that share an id are ordered by their text's hash and text.
     Texts of any length are encoded whole; a shard holds one document at
     least.  An empty table writes no shards.  Other columns are ignored.  The
-    dictionary's sample has *sample_docs* documents at most, the first by a
-    seeded hash of their ids.
+    dictionary, which is for short documents, is trained on *sample_docs*
+    documents at most, of *sample_chars* characters at most, the first by a
+    seeded hash of their ids.  *tokenizer* is the file of any tokenizer.
 
     Documents are dealt by id range into as many parts as the session's
     shuffle has, or more, so that no part grows with the input.
@@ -270,18 +328,15 @@ def write_tokens(
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"))
     total = source.count()
-    order = F.xxhash64(F.lit(seed), "doc")
-    share = min(1.0, 1.5 * sample_docs / max(total, 1))
-    bound = min(int((2 * share - 1) * (1 << 63)), (1 << 63) - 1)
-    sample = source.where(order <= bound).orderBy(order, F.length("body")).limit(sample_docs)
+    sampled = sample_rows(source.where(F.length("body") <= sample_chars), sample_docs, seed, total)
     names = "piece binary"
 
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(tokenizer, end_id)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([raw[: 16 << 10] for raw in encoder.encode_all(batch.column(1).to_pylist())], pa.binary())], names=["piece"])
+            yield pa.RecordBatch.from_arrays([pa.array(encoder.encode_all(batch.column(1)), pa.binary())], names=["piece"])
 
-    dictionary = train_dictionary([bytes(r.piece) for r in sample.mapInArrow(serialise, names).collect()], dictionary_bytes)
+    dictionary = train_dictionary([bytes(r.piece) for r in sampled.mapInArrow(serialise, names).collect()], dictionary_bytes)
     spark.createDataFrame([(bytearray(dictionary), f"{dictionary_hash(dictionary):016x}")], "dictionary binary, hash string").write.mode("overwrite").parquet(f"{path}/dictionary")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_part))
     body_hash = F.xxhash64("body")

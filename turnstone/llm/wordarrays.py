@@ -64,26 +64,45 @@ class Texts:
 
     ``first`` has each text's first word and, last, the number of words; per
     word there are ``text``, ``line`` (breaks before it in the batch), ``key``
-    (64-bit hash) and the code points ``begin`` and ``stop`` in its text.
+    (64-bit hash) and, with *places*, the code points ``begin`` and ``stop`` in
+    its text.  With *fold* given, words that aren't ASCII keep their case, and
+    without it true all do.  With *stops*, a full stop or
+    comma that ends a word after a letter is a word of its own.
     """
 
-    def __init__(self, column: pa.Array, places: bool = True):
+    def __init__(self, column: pa.Array, places: bool = True, fold: bool | None = None, stops: bool = False):
         binary = pc.fill_null(column.cast(pa.large_binary()), b"")
         buffers = binary.buffers()
         offsets = np.frombuffer(buffers[1], np.int64)[binary.offset : binary.offset + len(binary) + 1] if len(binary) else np.zeros(1, np.int64)
         raw = np.frombuffer(buffers[2], np.uint8)[offsets[0] : offsets[-1]] if len(binary) and buffers[2] is not None else np.zeros(0, np.uint8)
         offsets = offsets - offsets[0]
-        self.bytes = _LOWER[raw]
+        self.raw_bytes = raw.tobytes() if fold is not None else b""
+        self.bytes = _LOWER[raw] if fold is not False else raw
         inside = ~_SPACE[raw]
         cut = np.zeros(len(raw) + 1, bool)
         cut[offsets] = True
         before, after = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
         before[1:], after[:-1] = inside[:-1], inside[1:]
-        self.start = np.flatnonzero(inside & (~before | cut[:-1]))
-        self.end = np.flatnonzero(inside & (~after | cut[1:])) + 1
+        starts, ends = inside & (~before | cut[:-1]), inside & (~after | cut[1:])
+        if stops:
+            at = np.flatnonzero(ends & ~starts & ((raw == 46) | (raw == 44)))
+            last = raw[at - 1]
+            letter = ((last | 32) >= 97) & ((last | 32) <= 122)
+            letter |= (last >= 0x80) & (last <= 0xBF) & (last != 0x97) & (last != 0xB7) & (raw[np.maximum(at - 2, 0)] == 0xC3)
+            at = at[letter]
+            starts[at] = True
+            ends[at - 1] = True
+        self.start, self.end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.counts = np.diff(self.first)
         self.text = np.repeat(np.arange(len(binary)), self.counts)
+        high = np.concatenate([[0], np.cumsum(raw >= 128)]) if fold else np.zeros(1, np.int64)
+        if high[-1]:
+            step = np.zeros(len(raw) + 1, np.int8)
+            odd = high[self.end] > high[self.start]
+            step[self.start[odd]] += 1
+            step[self.end[odd]] -= 1
+            self.bytes = np.where(np.cumsum(step[:-1], dtype=np.int8) > 0, raw, self.bytes)
         with np.errstate(over="ignore"):
             self.key = self._keys()
         if places:
