@@ -20,6 +20,11 @@ def build_parser() -> argparse.ArgumentParser:
     aggregate.add_argument("tables")
     aggregate.add_argument("out")
     aggregate.add_argument("--only", nargs="*")
+    aggregate.add_argument("--raw", help="folder of raw days, for the coverage cube")
+    database = commands.add_parser("db", help="a catalog database of the cubes")
+    database.add_argument("out")
+    database.add_argument("name")
+    database.add_argument("--tables", help="also the transcript tables of this folder")
     status = commands.add_parser("status", help="partitions and rows of each table")
     status.add_argument("tables")
     sql = commands.add_parser("sql", help="one read-only statement over the tables")
@@ -40,10 +45,15 @@ def main(arguments: list[str] | None = None) -> int:
 
         write_tables(normalize(raw_files(spark, args.raw)), args.tables)
     elif args.command == "aggregate":
-        from turnstone.plans import cubes
+        from turnstone.plans import gold
 
-        for name in args.only or cubes.QUERIES:
-            cubes.QUERIES[name](spark, args.tables).write.mode("overwrite").parquet(f"{args.out}/{name}.parquet")
+        side = {"raw_days": tables.raw_days(spark, args.raw)} if args.raw else {}
+        print(json.dumps(gold.write_cubes(spark, gold.frames_of(spark, args.tables, **side), args.out, args.only)))
+    elif args.command == "db":
+        from turnstone.plans import gold
+
+        silver = gold.frames_of(spark, args.tables) if args.tables else None
+        print(json.dumps(gold.database(spark, args.out, args.name, silver)))
     elif args.command == "status":
         tables.register(spark, args.tables, schemas.TABLES)
         for name in schemas.TABLES:

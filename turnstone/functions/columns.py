@@ -15,6 +15,15 @@ def count_if(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
+def count_set(value: Column) -> Column:
+    """Distinct non-null values, for columns with few in a group.
+
+    The sets merge like any aggregate, where a distinct count next to others
+    would shuffle every row once per count.
+    """
+    return F.size(F.collect_set(value)).cast("long")
+
+
 def latest(value: Column, *order: Column) -> Column:
     """The value with the greatest order among rows where it isn't null."""
     key = F.struct(*order) if len(order) > 1 else order[0]

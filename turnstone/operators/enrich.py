@@ -65,9 +65,15 @@ def answered_themes(answers: DataFrame, id_col: str, answer_col: str, theme_ids:
 
 
 def signatures(texts: DataFrame, partitions: list[str], id_col: str, text_col: str) -> DataFrame:
-    """A content signature per partition: the hash of sorted ids and text hashes."""
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(id_col).cast("string").alias("i"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("h"))))
-    return texts.groupBy(*partitions).agg(F.sha2(F.array_join(F.transform(pairs, lambda p: F.concat(p["i"], F.lit("\x00"), p["h"])), "\x00"), 256).alias("signature"))
+    """A content signature per partition, whatever the order of its rows.
+
+    Each row's id and text give one hash; two sums over its halves and the
+    count of rows are combined before the shuffle, so that a partition of any
+    size costs one row a task.
+    """
+    each = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("\x00"), F.md5(F.coalesce(text_col, F.lit("")))))
+    half = lambda start: F.sum(F.conv(F.substring("_row", start, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+    return texts.withColumn("_row", each).groupBy(*partitions).agg(F.concat_ws("-", half(1), half(16), F.count("*").cast("string")).alias("signature"))
 
 
 def stale(now: DataFrame, stored: DataFrame, partitions: list[str]) -> DataFrame:

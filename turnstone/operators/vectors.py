@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,15 +51,21 @@ def rerank(hits: DataFrame, tier: Column, k: int, id_col: str) -> DataFrame:
     return hits.withColumn("tier", tier.cast("long")).orderBy("tier", F.col("score").desc(), id_col).limit(k)
 
 
-def lsh_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", planes: int = 4, tables: int = 32, seed: int = 11) -> DataFrame:
+def lsh_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", planes: int | None = None, tables: int = 32, bucket_rows: int = 256, seed: int = 11) -> DataFrame:
     """Approximate *k* nearest rows of each query by random hyperplanes, exactly re-ranked.
 
     A row's key in a table is the sign pattern of its products with that
-    table's planes, computed batch by batch as one matrix product; rows that
-    share a key with a query in some table are scored exactly.
+    table's planes, computed batch by batch as one matrix product.  A key and
+    those that differ from it at the query's least certain plane are probed;
+    rows found in some table are scored exactly.  There are as many planes as
+    leave about *bucket_rows* rows a key, so candidates grow in proportion to
+    the queries and not to the product of both sides; more *tables* raise the
+    recall.
     """
+    if planes is None:
+        planes = min(24, max(2, round(math.log2(max(vectors.count(), 1) / bucket_rows))))
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch], probe: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(1).to_pylist()
             known = [i for i, r in enumerate(rows) if r]
@@ -66,17 +73,20 @@ def lsh_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
             if known:
                 matrix = np.array([rows[i] for i in known], np.float64)
                 bank = np.random.default_rng(seed).standard_normal((matrix.shape[1], tables * planes))
-                signs = (matrix @ bank >= 0).reshape(len(known), tables, planes)
-                packed = signs @ (1 << np.arange(planes)) + (np.arange(tables) << planes)
+                products = (matrix @ bank).reshape(len(known), tables, planes)
+                packed = (products >= 0) @ (1 << np.arange(planes)) + (np.arange(tables) << planes)
+                if probe:
+                    order = np.argsort(np.abs(products), axis=2)
+                    packed = np.concatenate([packed, *(packed ^ (1 << order[:, :, i]) for i in range(min(2, planes)))], axis=1)
                 for i, row in zip(known, packed, strict=True):
                     keys[i] = row.tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["id", "vector", "keys"])
 
-    def keyed(df: DataFrame, names: tuple[str, str]) -> DataFrame:
-        signed = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector")).mapInArrow(sign, "id bigint, vector array<float>, keys array<bigint>")
+    def keyed(df: DataFrame, names: tuple[str, str], probe: bool) -> DataFrame:
+        signed = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector")).mapInArrow(lambda batches: sign(batches, probe), "id bigint, vector array<float>, keys array<bigint>")
         return signed.select(F.col("id").alias(names[0]), F.col("vector").alias(names[1]), F.explode("keys").alias("key"))
 
-    left, right = keyed(queries, ("query_id", "query_vector")), keyed(vectors, (id_col, vector_col))
+    left, right = keyed(queries, ("query_id", "query_vector"), True), keyed(vectors, (id_col, vector_col), False)
     pairs = left.join(right, "key").where(F.col("query_id") != F.col(id_col)).dropDuplicates(["query_id", id_col])
     scored = pairs.select("query_id", id_col, F.round(cosine(F.col("query_vector"), F.col(vector_col)), 5).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), id_col))

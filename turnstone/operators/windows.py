@@ -11,9 +11,11 @@ def next_match(df: DataFrame, group: list[str], order: str, matches: Column, fie
     """Add *fields* of the next row of the group, by *order*, that *matches*.
 
     A forward as-of lookup in one window.  *order* must be unique per group.
+    Rows are read from the last to the first, so the frame only grows and each
+    row is visited once.
     """
-    ahead = Window.partitionBy(*group).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    found = F.first(F.when(matches, F.struct(*fields)), ignorenulls=True).over(ahead)
+    ahead = Window.partitionBy(*group).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    found = F.last(F.when(matches, F.struct(*fields)), ignorenulls=True).over(ahead)
     out = df.withColumn("_next", found)
     return out.select("*", *(F.col(f"_next.{f}").alias(f"{prefix}{f}") for f in fields)).drop("_next")
 
@@ -35,21 +37,15 @@ def running_clock(df: DataFrame, group: list[str], order: str, clock: str, name:
 
     *clock* is a timestamp without its true day.  A reading, moved by the days
     rolled so far, that lies more than *hours* before the last one rolls one
-    day further, *most* times at the most.  The state depends on adjusted
-    values, which no window frame expresses, so each group's ordered readings
-    are folded in one array; a group is one sitting day.
+    day further, *most* times at the most.  Two readings in a row are moved by
+    the same days unless the second one rolls, so the raw readings tell where
+    that is, and the days rolled are a running count.  Null readings stay null.
     """
-    day, gap = 86_400_000_000, hours * 3_600_000_000
-    readings = df.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.unix_micros(F.col(clock).cast("timestamp")).alias("t")))).alias("r"))
-    start = F.struct(F.lit(0).cast("long").alias("days"), F.lit(None).cast("long").alias("last"), F.array().cast("array<struct<o:bigint,t:bigint,days:bigint>>").alias("out"))
-
-    def step(acc: Column, r: Column) -> Column:
-        moved = r["t"] + acc["days"] * day
-        roll = F.coalesce((acc["last"] - moved > gap) & (acc["days"] < most), F.lit(False))
-        days = acc["days"] + F.when(roll, 1).otherwise(0)
-        at = r["t"] + days * day
-        row = F.struct(r["o"].cast("long").alias("o"), at.alias("t"), days.alias("days"))
-        return F.struct(days.alias("days"), F.coalesce(at, acc["last"]).alias("last"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    folded = readings.select(*group, F.explode(F.aggregate("r", start, step)["out"]).alias("x"))
-    return folded.select(*group, F.col("x.o").alias(order), F.timestamp_micros("x.t").alias(name), F.col("x.days").alias("days_rolled"))
+    behind = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    at = F.unix_micros(F.col(clock).cast("timestamp"))
+    readings = df.select(*group, order, at.alias("_t")).withColumn("_drop", F.last("_t", ignorenulls=True).over(behind) - F.col("_t"))
+    rolls = F.count(F.when(F.col("_drop") > hours * 3_600_000_000, 1)).over(upto)
+    days = F.least(rolls, F.lit(most)).cast("long")
+    rolled = readings.withColumn("days_rolled", days)
+    return rolled.select(*group, order, F.timestamp_micros(F.col("_t") + F.col("days_rolled") * 86_400_000_000).alias(name), "days_rolled")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from turnstone.functions.columns import count_if, iso_week, joined_distinct, latest, minutes_between, name_key
+from turnstone.functions.columns import count_if, count_set, iso_week, joined_distinct, latest, minutes_between, name_key
 from turnstone.operators.windows import next_match, top_n
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,7 +59,7 @@ def member_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, day = F.col("event_type"), F.to_date("ts")
     turns = read(spark, sf_dir, "events").where("user_id is not null").groupBy(F.col("user_id").alias("member_id")).agg(
         F.count("*").alias("turns"), count_if(kind == "view").alias("speeches"), count_if(kind == "click").alias("questions"), count_if(kind == "purchase").alias("answers"),
-        count_if(kind == "error").alias("interjections"), F.countDistinct("event_type").alias("kinds"), F.countDistinct(day).alias("sitting_days"), F.min(day).alias("first_sitting"),
+        count_if(kind == "error").alias("interjections"), count_set(kind).alias("kinds"), count_set(day).alias("sitting_days"), F.min(day).alias("first_sitting"),
         F.max(day).alias("last_sitting"), F.bool_or(kind == "signup").alias("gave_first_speech"), latest(kind, F.col("ts")).alias("latest_kind"),
     )
     status = F.col("o_orderstatus")
@@ -77,7 +77,7 @@ def activity_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, day = F.col("event_type"), F.to_date("ts")
     return read(spark, sf_dir, "events").groupBy(year.alias("iso_year"), week.alias("iso_week"), "user_id").agg(
         F.min(day).alias("week_start"), F.count("*").alias("turns"), count_if(kind == "view").alias("speeches"), count_if(kind == "click").alias("questions"),
-        F.countDistinct(day).alias("sitting_days"), latest(kind, F.col("ts")).alias("latest_kind"),
+        count_set(day).alias("sitting_days"), latest(kind, F.col("ts")).alias("latest_kind"),
     )
 
 
@@ -126,7 +126,7 @@ def subject_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subjects with three satellites; one shuffle of the lines by subject serves all."""
     lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"), "left")
     facts = lines.groupBy("l_orderkey").agg(
-        F.count("*").alias("turns"), F.countDistinct("l_suppkey").alias("speakers"), count_if(F.col("l_returnflag") == "N").alias("speeches"), F.sum(F.col("l_quantity").cast("long")).alias("words"),
+        F.count("*").alias("turns"), count_set(F.col("l_suppkey")).alias("speakers"), count_if(F.col("l_returnflag") == "N").alias("speeches"), F.sum(F.col("l_quantity").cast("long")).alias("words"),
         F.min("l_shipdate").alias("first_spoken"), count_if(F.col("l_returnflag") == "R").alias("divisions"), joined_distinct(F.col("p_brand"), "; ").alias("bill_names"),
     )
     subjects = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -329,5 +329,5 @@ def pipeline_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 @cube("""
 SELECT user_id, min(ts) AS start_time, max(ts) AS end_time, date_diff('minute', min(ts), max(ts)) AS duration_minutes, count(*) AS turns, count(DISTINCT event_type) AS kinds, count(DISTINCT ts::DATE) AS days FROM events GROUP BY user_id""")
 def sitting_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = read(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("start_time"), F.max("ts").alias("end_time"), F.count("*").alias("turns"), F.countDistinct("event_type").alias("kinds"), F.countDistinct(F.to_date("ts")).alias("days"))
+    facts = read(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("start_time"), F.max("ts").alias("end_time"), F.count("*").alias("turns"), count_set(F.col("event_type")).alias("kinds"), count_set(F.to_date("ts")).alias("days"))
     return facts.withColumn("duration_minutes", minutes_between(F.col("start_time"), F.col("end_time")))

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from turnstone.functions.columns import count_if, deterministic_id, iso_week, squeeze, word_count
+from turnstone.functions.columns import NAMESPACE, count_if, deterministic_id, iso_week, minutes_between, squeeze, word_count
 from turnstone.operators import enrich, vectors
 from turnstone.operators.windows import last_known, running_clock, top_n
 from turnstone.sources import register
 
-from .cubes import _regional, read, registrar, theme_by_week
+from .cubes import _JOURNEY_SQL, _regional, bill_journey, read, registrar, theme_by_week
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,6 +119,85 @@ def report_pickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return years.join(customers, "o_custkey").select("region", "year").distinct()
 
 
+@report("""WITH b AS (SELECT p_name, year(min(o_orderdate))::BIGINT AS year FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY p_name) SELECT year, count(*) AS bills FROM b GROUP BY year""")
+def report_bills_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bills by the year in which they first came up; days are taken by part first."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    first = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(orders, "l_orderkey").groupBy("l_partkey").agg(F.min("o_orderdate").alias("day"))
+    names = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return first.join(names, "l_partkey").groupBy("p_name").agg(F.year(F.min("day")).cast("long").alias("year")).groupBy("year").agg(F.count("*").alias("bills"))
+
+
+@report(f"""WITH {_JOURNEY_SQL} SELECT sitting, furthest_stage, stage_labels, turns, words FROM journey WHERE bill_key = 'hot anvil'""", dates=("sitting",))
+def report_journey(spark: SparkSession, sf_dir: str, bill_key: str = "hot anvil") -> DataFrame:
+    """The journey of one bill."""
+    return bill_journey(spark, sf_dir).where(F.col("bill_key") == bill_key).select("sitting", "furthest_stage", "stage_labels", "turns", "words")
+
+
+@report("""SELECT year(o_orderdate)::BIGINT AS year, count(*) AS divisions, count(*) FILTER (o_orderstatus = 'O') AS carried, max(o_totalprice) AS largest FROM orders GROUP BY 1""")
+def report_divisions_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").cast("long").alias("year")).agg(F.count("*").alias("divisions"), count_if(F.col("o_orderstatus") == "O").alias("carried"), F.max("o_totalprice").alias("largest"))
+
+
+@report("""SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'Aye' WHEN 'N' THEN 'No' ELSE 'Other' END AS vote, coalesce(s_name, 'unknown') || ' (' || l_linenumber || ')' AS member, l_linestatus = 'F' AS teller
+FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey WHERE l_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 20)""")
+def report_division_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who voted how in the twenty latest divisions."""
+    latest = read(spark, sf_dir, "orders").orderBy(F.col("o_orderdate").desc(), "o_orderkey").limit(20).select(F.col("o_orderkey").alias("l_orderkey"))
+    votes = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus").join(F.broadcast(latest), "l_orderkey", "left_semi")
+    named = votes.join(read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey", "left")
+    vote = F.when(F.col("l_returnflag") == "A", "Aye").when(F.col("l_returnflag") == "N", "No").otherwise("Other")
+    member = F.concat(F.coalesce("s_name", F.lit("unknown")), F.lit(" ("), F.col("l_linenumber").cast("string"), F.lit(")"))
+    return named.select("l_orderkey", vote.alias("vote"), member.alias("member"), (F.col("l_linestatus") == "F").alias("teller"))
+
+
+@report("""WITH s AS (SELECT ts::DATE AS day, date_diff('minute', min(ts), max(ts)) AS minutes, count(*) AS turns FROM events GROUP BY 1) SELECT strftime(day, '%Y-%m-%d') || ' house' AS label, round(minutes / 60.0::DOUBLE, 1) AS hours, turns FROM s""")
+def report_sittings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and volume of each sitting day."""
+    days = read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("turns"))
+    return days.select(F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(" house")).alias("label"), F.round(minutes_between(F.col("a"), F.col("b")) / F.lit(60.0), 1).alias("hours"), "turns")
+
+
+@report("""WITH w AS (SELECT p_brand AS theme, isoyear(l_shipdate) * 100 + week(l_shipdate) AS week, avg(l_quantity) AS score, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL)
+SELECT theme, sum(n)::BIGINT AS total, round(avg(score), 6) AS mean_of_means FROM w GROUP BY theme ORDER BY total DESC, theme LIMIT 30""")
+def report_top_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thirty largest themes, with the mean of their weekly means."""
+    year, week = iso_week(F.col("l_shipdate"))
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("theme"))
+    weeks = read(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_quantity").join(part, "l_partkey").groupBy("theme", (year * 100 + week).alias("week")).agg(F.avg("l_quantity").alias("score"), F.count("*").alias("n"))
+    return weeks.groupBy("theme").agg(F.sum("n").alias("total"), F.round(F.avg("score"), 6).alias("mean_of_means")).orderBy(F.col("total").desc(), "theme").limit(30)
+
+
+@report("""WITH c AS (SELECT p_brand AS theme, l_returnflag AS vote, l_suppkey AS member_id, count(*) AS votes FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#11', 'Brand#12', 'Brand#13') GROUP BY ALL)
+SELECT theme, vote, member_id, votes FROM c QUALIFY row_number() OVER (PARTITION BY theme ORDER BY votes DESC, member_id, vote) <= 25""")
+def report_theme_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 members who voted most on each of the chosen themes."""
+    part = read(spark, sf_dir, "part").where(F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#11", "Brand#12", "Brand#13")).select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("theme"))
+    counts = read(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag").join(part, "l_partkey").groupBy("theme", F.col("l_returnflag").alias("vote"), F.col("l_suppkey").alias("member_id")).agg(F.count("*").alias("votes"))
+    return top_n(counts, ["theme"], [F.col("votes").desc(), F.col("member_id"), F.col("vote")], 25)
+
+
+@report("""WITH c AS (SELECT n_regionkey::BIGINT AS region, p_name AS name, count(*) AS occurrences FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL)
+SELECT region, name, occurrences FROM c QUALIFY row_number() OVER (PARTITION BY region ORDER BY occurrences DESC, name) <= 5""")
+def report_framing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subject names most used in each region, counted by supplier and part first."""
+    counts = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("n"))
+    nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").cast("long").alias("region"))
+    supplier = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey").join(nation, "s_nationkey")
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("name"))
+    named = counts.join(supplier, "l_suppkey").join(part, "l_partkey").groupBy("region", "name").agg(F.sum("n").alias("occurrences"))
+    return top_n(named, ["region"], [F.col("occurrences").desc(), F.col("name")], 5)
+
+
+@report("""WITH l AS (SELECT l_orderkey, max(l_discount) FILTER (l_linenumber = 1) AS best FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1)
+SELECT year(o_orderdate)::BIGINT AS year, count(*) AS subjects, count(*) FILTER (l_orderkey IS NULL) AS unclassified, count(*) FILTER (best < 0.03) AS low_confidence FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1""")
+def report_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many subjects of each year lack a theme, or have a doubtful one."""
+    labelled = read(spark, sf_dir, "lineitem").where("l_returnflag <> 'R'").groupBy("l_orderkey").agg(F.max(F.when(F.col("l_linenumber") == 1, F.col("l_discount"))).alias("best"))
+    both = read(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").cast("long").alias("year")).join(labelled, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return both.groupBy("year").agg(F.count("*").alias("subjects"), count_if(F.col("l_orderkey").isNull()).alias("unclassified"), count_if(F.col("best") < 0.03).alias("low_confidence"))
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 _COSINE = "round(list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 5)"
@@ -183,7 +262,8 @@ def prune_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "embeddings").select("vec_id", "label").join(kept, "vec_id", "left_anti")
 
 
-_SIGN = "SELECT source, sha256(string_agg(doc_id || ':' || sha256(coalesce(text, '')), ',' ORDER BY doc_id)) AS signature, count(*) AS texts FROM documents {0} GROUP BY source"
+_HALF = "sum(('0x' || substr(r, {0}, 15))::UBIGINT::HUGEINT)::VARCHAR"
+_SIGN = f"SELECT source, concat_ws('-', {_HALF.format(1)}, {_HALF.format(16)}, count(*)::VARCHAR) AS signature, count(*) AS texts FROM (SELECT source, md5(doc_id || chr(0) || md5(coalesce(text, ''))) AS r FROM documents {{0}}) GROUP BY source"
 
 
 @report(f"WITH now AS ({_SIGN.format('')}), stored AS ({_SIGN.format('WHERE doc_id % 97 <> 5')}) SELECT now.source, now.signature, now.texts FROM now LEFT JOIN stored ON stored.source = now.source AND stored.signature = now.signature WHERE stored.source IS NULL")
@@ -191,13 +271,11 @@ def stale_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitions whose content signature isn't among the stored ones."""
 
     def signed(docs: DataFrame) -> DataFrame:
-        each = docs.select("source", F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).alias("p"))
-        lines = F.transform(F.sort_array(F.collect_list("p")), lambda p: F.concat(p["doc_id"].cast("string"), F.lit(":"), p["h"]))
-        return each.groupBy("source").agg(F.sha2(F.array_join(lines, ","), 256).alias("signature"), F.count("*").alias("texts"))
+        signed = enrich.signatures(docs.select("source", "doc_id", F.coalesce("text", F.lit("")).alias("text")), ["source"], "doc_id", F.col("text"))
+        return signed.withColumn("texts", F.substring_index("signature", "-", -1).cast("long"))
 
     docs = read(spark, sf_dir, "documents")
-    stored = signed(docs.where("doc_id % 97 <> 5")).select("source", "signature")
-    return signed(docs).join(stored, ["source", "signature"], "left_anti")
+    return enrich.stale(signed(docs), signed(docs.where("doc_id % 97 <> 5")), ["source"])
 
 
 @report(r"""WITH m AS (SELECT doc_id, regexp_extract_all(lower(text), 'apache license|mit license|general public license|version [0-9]|licensed') AS found FROM documents),
@@ -229,12 +307,16 @@ def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(squeeze(F.col("text"))).alias("clean_md5"), word_count(F.col("text")).cast("long").alias("words"))
 
 
-@report(None)
+@report("""WITH c AS (SELECT user_id, event_id, '2000-01-01'::DATE + ts::TIME AS clock FROM events),
+d AS (SELECT *, last_value(clock IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT user_id, event_id, date_trunc('second', clock) AS clock FROM c)),
+r AS (SELECT *, least(2, count(*) FILTER (WHERE before - clock > INTERVAL 12 HOURS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING))::BIGINT AS days_rolled FROM d)
+SELECT user_id, event_id, strftime(clock + to_days(days_rolled::INT), '%Y-%m-%d %H:%M:%S') AS rolled, days_rolled FROM r""")
 def running_clock_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times cut to their clock and rolled past midnight again, by user."""
     events = read(spark, sf_dir, "events")
     clock = F.to_timestamp_ntz(F.concat(F.lit("2000-01-01 "), F.date_format("ts", "HH:mm:ss")))
-    return running_clock(events.select("user_id", "event_id", clock.alias("clock")), ["user_id"], "event_id", "clock")
+    rolled = running_clock(events.select("user_id", "event_id", clock.alias("clock")), ["user_id"], "event_id", "clock")
+    return rolled.withColumn("rolled", F.date_format("rolled", "yyyy-MM-dd HH:mm:ss"))
 
 
 @report("""WITH k AS (SELECT conv_id, turn, role, CASE WHEN turn % 3 = 0 THEN role END AS known FROM conversations)
@@ -272,7 +354,8 @@ def content_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", F.sha2(parts, 256).alias("content_hash"))
 
 
-@report(None)
+@report(f"""WITH d AS (SELECT c_custkey, left(sha1(unhex('{NAMESPACE.hex}') || encode('member' || chr(31) || c_custkey || chr(31) || coalesce(c_name, chr(0)))), 32) AS h FROM customer)
+SELECT c_custkey, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), '5' || substr(h, 14, 3), substr('89ab', 1 + (position(substr(h, 17, 1) IN '0123456789abcdef') - 1) % 4, 1) || substr(h, 18, 3), substr(h, 21, 12)) AS id FROM d""")
 def deterministic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", deterministic_id(F.lit("member"), F.col("c_custkey"), F.col("c_name")).alias("id"))
 

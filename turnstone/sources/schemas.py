@@ -28,3 +28,19 @@ def _schema(columns: str) -> StructType:
 
 TABLES: dict[str, StructType] = {name: _schema(f"{_KEYS}, {columns}") for name, columns in _COLUMNS.items()}
 PARTITIONS = ["jurisdiction", "date", "house"]
+
+#: Tables that do not come from transcripts.
+SIDE_TABLES: dict[str, StructType] = {
+    name: StructType.fromDDL(columns)
+    for name, columns in {
+        "members": "member_id string, source_member_id string, display_name string, title string, first_name string, other_names string, last_name string, date_of_birth date, house string, electorate string, party_name string, is_current boolean, deceased boolean, elected_date date, archived_date date, retrieved_at timestamp, jurisdiction string",
+        "subject_themes": "subject_id string, fragment_id string, theme_id string, theme_name string, rank int, score float, engine string, model string, provider string, taxonomy_locale string, taxonomy_version int, model_slug string, jurisdiction string, date string, house string",
+        "embeddings": "text_id string, fragment_id string, talker_id string, subject_id string, model string, provider string, dim int, embedding array<float>, model_slug string, jurisdiction string, date string, house string",
+        "stage_vocab": "jurisdiction string, name_lower string, stage string, stage_order int",
+        "raw_days": "jurisdiction string, date date, house_code string, documents bigint, harvested_at string",
+        "embedding_index": "model_slug string, jurisdiction string, date string, house string",
+    }.items()
+}
+
+#: Files that could not be read, by the day they belong to.
+PARSE_ERRORS = StructType.fromDDL("jurisdiction string, date string, house string, name string, error string")

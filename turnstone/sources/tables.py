@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -28,9 +30,23 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def temporary_path(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder; a local one only where none is set."""
+    """A new path in the cluster's shared folder; a local one only on a single machine where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{(root or tempfile.mkdtemp(prefix='turnstone-')).rstrip('/')}/turnstone-{name}-{uuid.uuid4().hex}"
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
+    path = f"{(root or tempfile.mkdtemp(prefix='turnstone-')).rstrip('/')}/turnstone-{name}-{uuid.uuid4().hex}"
+    _temporary.append((spark, path))
+    return path
+
+
+_temporary: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _clean_up() -> None:
+    for spark, path in _temporary:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            delete(spark, path)
 
 
 def scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -46,14 +62,13 @@ def register(spark: SparkSession, root: str, schemas: Mapping[str, StructType])
         scan(spark, f"{root}/{name}", schema).createOrReplaceTempView(name)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: list[str], files_per_partition: int = 1, compression: str = "zstd") -> None:
+def overwrite_partitions(df: DataFrame, path: str, partitions: list[str], compression: str = "zstd") -> None:
     """Replace exactly the partitions that *df* has rows for; an empty frame writes nothing.
 
-    Rows are dealt by partition value and a salt, so that each partition has a
-    bounded number of writers and a large one has several.
+    Rows are dealt by partition value; adaptive execution joins small values
+    into one writer and gives a large one several.
     """
-    salted = df.repartition(*(F.col(p) for p in partitions), (F.rand(5) * files_per_partition).cast("int")) if files_per_partition > 1 else df.repartition(*(F.col(p) for p in partitions))
-    salted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy(*partitions).parquet(path)
+    df.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy(*partitions).parquet(path)
 
 
 def partition_values(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -62,9 +77,9 @@ def partition_values(spark: SparkSession, path: str, columns: list[str]) -> Data
 
 
 def consolidate(df: DataFrame, path: str, date_col: str = "date", keys: tuple[str, ...] = ("model_slug", "jurisdiction"), rows_per_file: int = 50_000) -> None:
-    """Rewrite by model, jurisdiction and year in large files."""
+    """Rewrite by model, jurisdiction and year in large files; a large year has several writers."""
     out = df.withColumn("year", F.year(date_col))
-    out.repartition(*keys, "year").write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy(*keys, "year").parquet(path)
+    out.hint("rebalance", *keys, "year").write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy(*keys, "year").parquet(path)
 
 
 def join_coverage(df: DataFrame, columns: list[str]) -> DataFrame:

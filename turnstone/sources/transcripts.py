@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from turnstone.functions.columns import NAMESPACE
 
-from .schemas import PARTITIONS, TABLES
-from .tables import overwrite_partitions
+from .schemas import PARSE_ERRORS, PARTITIONS, TABLES
+from .tables import overwrite_partitions, temporary_path
 
 #: The zone of a naive time, by jurisdiction.
 ZONES = {"wa": "Australia/Perth", "sa": "Australia/Adelaide", "nsw": "Australia/Sydney", "au": "Australia/Sydney", "nz": "Pacific/Auckland", "scot": "Europe/London"}
@@ -281,13 +281,19 @@ def _plain(value: object) -> object:
 
 
 def parse_day(files: pd.DataFrame) -> pd.DataFrame:
-    """Tagged rows (table, body as JSON) of one house's day; unreadable files are skipped."""
+    """Tagged rows (table, body as JSON) of one house's day.
+
+    A file that cannot be read gives a row of ``parse_errors`` and takes
+    nothing else from its day.
+    """
     from .federal import FederalDay
     from .fragments import FragmentDay
 
     first = files.iloc[0]
     day = {"au": FederalDay, "nsw": FragmentDay}.get(first.jurisdiction, Day)(first.jurisdiction, str(first.date), first.house_code)
     meta: dict = {}
+    errors: list[tuple[str, dict]] = []
+    first_keys = {"jurisdiction": first.jurisdiction, "date": str(first.date)}
     for row in files.sort_values("name").itertuples():
         if row.name == "meta.json":
             try:
@@ -297,9 +303,14 @@ def parse_day(files: pd.DataFrame) -> pd.DataFrame:
         elif row.name.endswith(".xml") and not row.name.startswith("toc"):
             try:
                 day.extract(row.content)
-            except ET.ParseError:
-                continue
-    out = [(t, json.dumps({k: _plain(v) for k, v in r.items()}, ensure_ascii=False)) for t, r in day.finish(meta)]
+            except Exception as error:  # noqa: BLE001  whatever a file holds, the other files of the day count
+                errors.append(("parse_errors", first_keys | {"house": first.house_code, "name": row.name, "error": f"{type(error).__name__}: {error}"[:500]}))
+    try:
+        rows = list(day.finish(meta))
+    except Exception as error:  # noqa: BLE001
+        rows = []
+        errors.append(("parse_errors", first_keys | {"house": first.house_code, "name": None, "error": f"{type(error).__name__}: {error}"[:500]}))
+    out = [(t, json.dumps({k: _plain(v) for k, v in r.items()}, ensure_ascii=False)) for t, r in [*rows, *errors]]
     return pd.DataFrame(out, columns=["table", "body"])
 
 
@@ -311,10 +322,18 @@ def raw_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def normalize(files: DataFrame) -> dict[str, DataFrame]:
-    """The relational tables of raw files (jurisdiction, date, house_code, name, content)."""
+    """The relational tables of raw files (jurisdiction, date, house_code, name, content), and ``parse_errors``.
+
+    Every file is parsed once: the tagged rows are written to the shared
+    folder by table, and each table reads its own part of them.
+    """
+    spark = files.sparkSession
+    path = temporary_path(spark, "tagged")
     tagged = files.groupBy("jurisdiction", "date", "house_code").applyInPandas(parse_day, "table string, body string")
-    pick = lambda name: tagged.where(F.col("table") == name).select(F.from_json("body", TABLES[name]).alias("r")).select("r.*")
-    return {name: pick(name) for name in TABLES}
+    tagged.write.partitionBy("table").parquet(path)
+    written = spark.read.schema("body string, table string").parquet(path)
+    pick = lambda name, schema: written.where(F.col("table") == name).select(F.from_json("body", schema).alias("r")).select("r.*")
+    return {name: pick(name, schema) for name, schema in (TABLES | {"parse_errors": PARSE_ERRORS}).items()}
 
 
 def write_tables(tables: dict[str, DataFrame], root: str) -> None:

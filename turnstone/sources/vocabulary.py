@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,18 +14,19 @@ LOCALES = {"wa": "en-AU", "sa": "en-AU", "nsw": "en-AU", "au": "en-AU", "nz": "e
 
 
 def stage_rows(jurisdiction: str, text: str) -> list[tuple[str, str, str, int]]:
-    """(jurisdiction, name_lower, stage, stage_order) of a mapping of stage to names."""
-    rows, seen = [], set()
-    for stage, names in (yaml.safe_load(text) or {}).items():
-        if stage not in STAGES:
-            raise ValueError(f"unknown stage {stage!r}")
-        for name in names or []:
-            key = name.strip().lower()
-            if key in seen:
-                raise ValueError(f"{name!r} is listed twice")
-            seen.add(key)
-            rows.append((jurisdiction, key, stage, STAGES.index(stage)))
-    return rows
+    """(jurisdiction, name_lower, stage, stage_order) of a YAML mapping of stages to names.
+
+    All faults of the mapping, unknown stages and names listed twice, are
+    reported together.
+    """
+    mapping = yaml.safe_load(text) or {}
+    order = dict(zip(STAGES, range(len(STAGES)), strict=True))
+    pairs = [(" ".join(name.lower().split()), stage) for stage in mapping for name in mapping[stage] or ()]
+    times = Counter(name for name, _ in pairs)
+    faults = [f"unknown stage {stage!r}" for stage in sorted(mapping.keys() - order.keys())] + [f"{name!r} is listed {n} times" for name, n in times.items() if n > 1]
+    if faults:
+        raise ValueError("; ".join(faults))
+    return [(jurisdiction, name, stage, order[stage]) for name, stage in pairs]
 
 
 def stage_table(spark: SparkSession, files: dict[str, str]) -> DataFrame:

@@ -25,9 +25,6 @@ def ingest(spark: SparkSession, raw_root: str, table_root: str, checkpoint: str,
     def replace(batch: DataFrame, _: int) -> None:
         changed = batch.where("date <> ''").distinct()
         files = raw_files(batch.sparkSession, raw_root).join(changed, ["jurisdiction", "date", "house_code"], "left_semi")
-        tables = {name: df.persist() for name, df in normalize(files).items()}
-        write_tables(tables, table_root)
-        for df in tables.values():
-            df.unpersist()
+        write_tables(normalize(files), table_root)
 
     return days.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
