@@ -101,3 +101,52 @@ def test_classifier_on_labels(spark, docs, empty):
     rows = quality_model.classify_quality(docs).collect()
     assert len(rows) == docs.count() and not any(r.kept for r in rows if r.n_words == 0)
     assert quality_model.classify_quality(empty).count() == 0
+
+
+def test_em_recovers_labellers():
+    """Accuracies of independent labellers, drawn at random, and the posterior's labels."""
+    r = np.random.default_rng(6)
+    k, n = len(quality_model.LABELLERS), 60_000
+    good = r.random(n) < 0.7
+    hit = r.uniform(0.55, 0.9, k)
+    false = r.uniform(0.01, 0.1, k)
+    votes = (r.random((n, k)) < np.where(good[:, None], false, hit)).astype(np.int64)
+    patterns, back, counts = np.unique(quality_model.pattern_of(votes), return_inverse=True, return_counts=True)
+    share, prior, posterior = quality_model.fit_labellers(patterns, counts.astype(float))
+    assert abs(prior - 0.7) < 0.02 and np.abs(share[0, :, 1] - hit).max() < 0.03 and np.abs(share[1, :, 1] - false).max() < 0.02
+    assert ((posterior[back] > 0.5) == good).mean() > 0.98
+
+
+def test_scorer_learns_the_posterior():
+    """The same texts under opposite labels give opposite scores."""
+    import pyarrow as pa
+
+    found = quality_model.Measured(pa.array([f"alpha beta gamma delta {i} words." for i in range(40)] + [f"### $$$ zzz{i} %%% &&&" for i in range(40)]))
+    labels = np.repeat([1.0, 0.0], 40)
+    score = lambda y: np.bincount(found.owner, quality_model.fit_scorer(found.rows(), y)[found.bins] * found.values, 80)
+    assert ((score(labels) > 0) == (labels > 0.5)).all() and ((score(1 - labels) > 0) == (labels < 0.5)).all()
+
+
+def test_classifier_ties_and_repeated_rows(spark):
+    rows = [(1, "same words here every time"), (1, "same words here every time"), (2, "same words here every time"), (None, None), (3, "")]
+    got = quality_model.classify_quality(spark.createDataFrame(rows, "doc_id long, text string"), sample_docs=2).collect()
+    assert len(got) == 5 and len({r.score for r in got if r.n_words}) == 1 and all(r.score == 0 and not r.kept for r in got if not r.n_words)
+
+
+def test_every_packaged_tokenizer():
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import random
+
+    r = random.Random(3)
+    pool = [*"aAbHZ.,'’sŚ̱ßİΣσéÉ \t\n\x0b\x1c\x85 <|>12٣\x01", "<|endoftext|>", "'s", "'LL", "The "]
+    texts = ["".join(r.choice(pool) for _ in range(r.randint(0, 30))) for _ in range(5000)] + [None]
+    for name, by_word in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        encoder, plain = token_output.Encoder(path), Tokenizer.from_file(path)
+        encoder.LIMIT = 300
+        assert encoder.by_word == by_word
+        got = [x for i in range(0, len(texts), 500) for x in encoder.encode_all(pa.array(texts[i : i + 500], pa.string()))]
+        assert got == [np.array([*plain.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes() for t in texts]

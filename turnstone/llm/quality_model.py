@@ -18,7 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample_rows, slices
+from .common import mix, sample_rows, slices
+from .wordarrays import LOWER, Sums, Texts
 
 #: Labellers, in the order of a pattern's base-3 digits (0 abstain, 1 bad, 2 good).
 LABELLERS = ("symbols", "capitals", "repeats", "stutters", "lines", "word_length", "prose", "sentences", "variety")
@@ -27,59 +28,16 @@ SAMPLE_DOCS = 6000
 BINS = 1 << 16
 STEPS = 200
 
-_SYMBOL = re.compile(r"[#*$%&|<>]")
 _PLAIN = re.compile(r"[\"'(]?[^\W\d_]+(?:['’-][^\W\d_]+)*[\"')]?[,.;:!?]?[\"')]?")
+_SYMBOL_BYTES = np.zeros(256, bool)
+_SYMBOL_BYTES[list(b"#*$%&|<>")] = True
+#: Texts that are worked on at once.
+_TEXTS = 256
 
 
-class Plain(dict):
-    """Whether a word is plain: letters in no shouting case, at most one mark after them."""
-
-    LIMIT = 300_000
-
-    def __missing__(self, word: str) -> bool:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = bool(_PLAIN.fullmatch(word)) and not (len(word) > 2 and word.isupper())
-        return value
-
-
-_plain = Plain()
-
-
-def votes(text: str, words: list[str]) -> list[int]:
-    """One vote per labeller: 1 bad, 2 good, 0 abstain."""
-    n = len(words)
-    if n == 0:
-        return [1] * len(LABELLERS)
-    symbols = len(_SYMBOL.findall(text)) / n
-    capitals = sum(map(len, re.findall("[A-Z]+", text))) / len(text)
-    windows = list(zip(words, words[1:], words[2:], words[3:], words[4:], strict=False))
-    repeats = 1 - len(set(windows)) / len(windows) if windows else 0.0
-    stutters = sum(map(str.__eq__, words, words[1:])) / n
-    lines = [x for x in text.split("\n") if x.strip()]
-    doubled = 1 - len(set(lines)) / len(lines)
-    length = sum(map(len, words)) / n
-    variety = len(set(words)) / n
-    plain = sum(map(_plain.__getitem__, words)) / n
-    stops = text.count(".") / n
-    return [
-        int(symbols > 0.1),
-        int(capitals > 0.4 and n >= 5),
-        int(repeats > 0.25),
-        int(stutters > 0.2),
-        int(doubled > 0.45),
-        int(not 2.5 <= length <= 9),
-        2 if plain > 0.9 else int(plain < 0.5),
-        2 if 1 / 60 <= stops <= 1 / 3 else 0,
-        (2 if variety > 0.3 else int(variety < 0.15)) if n >= 30 else 0,
-    ]
-
-
-def pattern_of(text: str, words: list[str]) -> int:
-    out = 0
-    for vote in votes(text, words):
-        out = 3 * out + vote
-    return out
+def pattern_of(votes: np.ndarray) -> np.ndarray:
+    """Rows of votes (0 abstain, 1 bad, 2 good) as one number each."""
+    return votes @ 3 ** np.arange(len(LABELLERS) - 1, -1, -1)
 
 
 def digits(patterns: np.ndarray) -> np.ndarray:
@@ -108,41 +66,133 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) ->
     return share, prior, posterior
 
 
-class Features(dict):
-    """Hashed features of words: the shape and the length, as one number."""
+def _bin(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) % (BINS - 8) + 8
 
-    LIMIT = 300_000
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        shape = re.sub(r"(.)\1+", r"\1", re.sub(r"\d", "9", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", word)))
-        first, second = (xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) % (BINS - 8) + 8 for x in ("s" + shape[:12], f"l{min(len(word), 24) // 3}"))
-        value = self[word] = first * BINS + second
-        return value
+def shape_of(word: str) -> tuple[int, int]:
+    """The hashed shape of a word, and whether it is plain.
+
+    A shape has A, a and 9 for runs of letters and digits.  A plain word has
+    letters in no shouting case and at most one mark after them.
+    """
+    shape = re.sub(r"(.)\1+", r"\1", re.sub(r"\d", "9", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", word)))
+    return _bin("s" + shape), int(bool(_PLAIN.fullmatch(word)) and not (len(word) > 2 and word.isupper()))
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(bins, values): square roots of the shares of a text's features.
 
-        Bins below 8 hold the constant, the share of words equal to the one
-        before, and the share of three-word windows seen before.
-        """
-        if not words:
-            return np.array([0]), np.array([1.0])
-        n = len(words)
-        twice = sum(map(str.__eq__, words, words[1:]))
-        again = 1 - len(set(zip(words, words[1:], words[2:], strict=False))) / max(n - 2, 1) if n > 2 else 0.0
-        both = np.fromiter(map(self.__getitem__, words), np.int64, n)
-        bins, counts = np.unique(np.concatenate([both // BINS, both % BINS]), return_counts=True)
-        return np.concatenate([[1, 2, 3], bins]), np.sqrt(np.concatenate([[1.0, twice / n, again], counts / n]))
+_MARKS = ".,;:!?"
+#: Bins of the shapes that most words have: in lower case or title case, without a mark or with one.
+_SIMPLE = np.array([[_bin("s" + case + mark) for mark in ("", *_MARKS)] for case in ("a", "Aa")])
+_MARK_NUMBER = np.zeros(256, np.int64)
+_MARK_NUMBER[list(_MARKS.encode())] = np.arange(1, len(_MARKS) + 1)
 
 
-_known = Features()
+class Shapes(dict):
+    """``shape_of`` by the key of a word, remembered up to a bounded number of words."""
 
+    LIMIT = 300_000
 
-def known_features() -> Features:
-    """The features of this process: a worker's later tasks find the words that its first ones saw."""
-    return _known
+    def of(self, texts: Texts) -> np.ndarray:
+        """A row per word: bins of its shape, length, first and last three bytes and itself, its length and whether it is plain."""
+        keys, at, back = np.unique(texts.key, return_index=True, return_inverse=True)
+        if len(self) > self.LIMIT:
+            self.clear()
+        start, end, raw = texts.start[at], texts.end[at], texts.bytes
+        upto = lambda mask: np.concatenate([[0], np.cumsum(mask)])
+        lower, points = upto((raw >= 97) & (raw <= 122)), upto((raw & 0xC0) != 0x80)
+        mark = _MARK_NUMBER[raw[end - 1]] if len(raw) else np.zeros(0, np.int64)
+        core = end - (mark > 0)
+        small, size = lower[core] - lower[start], core - start
+        title = (size > 1) & (small == size - 1) & (raw[start] >= 65) & (raw[start] <= 90) if len(raw) else np.zeros(0, bool)
+        simple = (size > 0) & (small == size)
+        shape, plain = np.where(title, _SIMPLE[1][mark], _SIMPLE[0][mark]), np.ones(len(at), np.int64)
+        for i in np.flatnonzero(~(simple | title)).tolist():
+            key = int(keys[i])
+            found = self.get(key)
+            if found is None:
+                found = self[key] = shape_of(texts.word(at[i]).decode())
+            shape[i], plain[i] = found
+        length = points[end] - points[start]
+        ends = np.zeros((2, len(at)), np.uint64)
+        for j in range(3):
+            inside = end - start > j
+            for side, place in enumerate((start + j, end - 1 - j)):
+                byte = LOWER[raw[np.where(inside, place, start)]] if len(raw) else np.zeros(0, np.uint8)
+                ends[side] = ends[side] * np.uint64(256) + np.where(inside, byte, 0).astype(np.uint64)
+        number = lambda x, salt: (mix(x + np.uint64(salt)) % np.uint64(BINS - 8)).astype(np.int64) + 8
+        bins = [shape, number((length // 3).astype(np.uint64), 1 << 40), number(ends[0], 2 << 40), number(ends[1], 3 << 40), number(keys, 4 << 40)]
+        return np.stack([*bins, length, plain], axis=1)[back]
+
+
+#: Shared by the tasks of a worker: later ones find the words that the first ones saw.
+_words = Shapes()
+
+
+class Measured:
+    """Votes and features of a column of texts."""
+
+    def __init__(self, column: pa.Array):
+        with np.errstate(over="ignore"):
+            self._measure(Texts(column, fold=False))
+
+    def _measure(self, texts: Texts) -> None:
+        n, count = texts.counts, len(texts.counts)
+        of = texts.text
+        some = np.maximum(n, 1)
+        per_text = lambda x: np.bincount(of, x, count)
+        words = _words.of(texts)
+
+        def distinct(value: np.ndarray, owner: np.ndarray) -> np.ndarray:
+            """Different values of each text."""
+            order = np.lexsort((value, owner))
+            value, owner = value[order], owner[order]
+            new = np.ones(len(value), bool)
+            new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+            return np.bincount(owner[new], minlength=count)
+
+        sums = Sums(texts.key)
+
+        def windows(size: int) -> np.ndarray:
+            """The share of a text's windows of *size* words that it has already."""
+            at = np.arange(max(len(of) - size + 1, 0))
+            at = at[of[at] == of[at + size - 1]]
+            total = np.maximum(n - size + 1, 0)
+            return np.where(total > 0, 1 - distinct(sums.of(at, at + size), of[at]) / np.maximum(total, 1), 0.0)
+
+        again = np.zeros(len(of), bool)
+        again[1:] = (texts.key[1:] == texts.key[:-1]) & (of[1:] == of[:-1])
+        stutters = per_text(again) / some
+        turn = np.ones(len(of), bool)
+        turn[1:] = (texts.line[1:] != texts.line[:-1]) | (of[1:] != of[:-1])
+        first = np.flatnonzero(turn)
+        lines = sums.of(first, np.append(first[1:], len(of)).astype(np.int64)[: len(first)])
+        doubled = 1 - distinct(lines, of[first]) / np.maximum(np.bincount(of[first], minlength=count), 1)
+        byte_sums = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[texts.offsets])
+        symbols = byte_sums(_SYMBOL_BYTES[texts.bytes]) / some
+        capitals = byte_sums((texts.bytes >= 65) & (texts.bytes <= 90)) / np.maximum(byte_sums((texts.bytes & 0xC0) != 0x80), 1)
+        stops = byte_sums(texts.bytes == 46) / some
+        length, plain, variety = per_text(words[:, 5]) / some, per_text(words[:, 6]) / some, distinct(texts.key, of) / some
+        vote = lambda bad: bad.astype(np.int64)
+        votes = np.stack([
+            vote(symbols > 0.1), vote((capitals > 0.4) & (n >= 5)), vote(windows(5) > 0.25), vote(stutters > 0.2), vote(doubled > 0.45), vote((length < 2.5) | (length > 9)),
+            np.where(plain > 0.9, 2, vote(plain < 0.5)), np.where((stops >= 1 / 60) & (stops <= 1 / 3), 2, 0), np.where(n >= 30, np.where(variety > 0.3, 2, vote(variety < 0.15)), 0),
+        ], axis=1)
+        votes[n == 0] = 1
+        self.n_words, self.votes, self.pattern = n, votes, pattern_of(votes)
+        # Square roots of the shares of a text's features; bins below 8 hold the constant and two shares of repeats.
+        pairs = (of[:, None] * BINS + words[:, :5]).ravel()
+        cells, times = np.unique(pairs, return_counts=True)
+        owner = cells // BINS
+        every = np.arange(count)
+        self.owner = np.concatenate([every, every, every, owner])
+        self.bins = np.concatenate([np.full(count, 1), np.full(count, 2), np.full(count, 3), cells % BINS])
+        self.values = np.sqrt(np.concatenate([np.ones(count), stutters, windows(3), times / some[owner]]))
+
+    def rows(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(bins, values) of each text."""
+        order = np.argsort(self.owner, kind="stable")
+        ends = np.searchsorted(self.owner[order], np.arange(len(self.n_words) + 1))
+        return [(self.bins[order[a:b]], self.values[order[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
@@ -161,26 +211,18 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, st
     return weights
 
 
-def _words(text: str | None) -> list[str]:
-    return text.split() if text else []
-
-
 def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b in slices(batch.num_rows, 512):
-            texts = batch.column(1).slice(a, b - a).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([pattern_of(t or "", _words(t)) for t in texts], pa.int32())], names=["pattern"])
+        for a, b in slices(batch.num_rows, _TEXTS):
+            yield pa.RecordBatch.from_arrays([pa.array(Measured(batch.column(1).slice(a, b - a)).pattern.astype(np.int32))], names=["pattern"])
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = known_features()
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        words = [_words(t) for t in texts]
-        rows = [known.of(w) for w in words]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([pattern_of(t or "", w) for t, w in zip(texts, words, strict=True)], pa.int32()), pa.array([r[0] for r in rows], pa.list_(pa.int64())), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=["pattern", "bins", "values"]
-        )
+        for a, b in slices(batch.num_rows, _TEXTS):
+            found = Measured(batch.column(1).slice(a, b - a))
+            bins, values = zip(*found.rows(), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.pattern.astype(np.int32)), pa.array(bins, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], names=["pattern", "bins", "values"])
 
 
 def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample_docs: int = SAMPLE_DOCS, threshold: float = 0.5, seed: int = 2) -> DataFrame:
@@ -205,13 +247,12 @@ def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     weights = fit_scorer([(np.array(r.bins), np.array(r["values"])) for r in sample], np.array([posterior[r.pattern] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = known_features()
         for batch in batches:
-            for a, b in slices(batch.num_rows, 512):
+            for a, b in slices(batch.num_rows, _TEXTS):
                 piece = batch.slice(a, b - a)
-                words = [_words(t) for t in piece.column(1).to_pylist()]
-                s = np.array([weights[bins] @ values for bins, values in map(known.of, words)], np.float64)
-                s = np.where([len(w) > 0 for w in words], np.round(1 / (1 + np.exp(-s)), 6), 0.0)
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array(s), pa.array(s >= threshold)], names=["doc", "n_words", "score", "kept"])
+                found = Measured(piece.column(1))
+                s = np.bincount(found.owner, weights[found.bins] * found.values, len(found.n_words))
+                s = np.where(found.n_words > 0, np.round(1 / (1 + np.exp(-s)), 6), 0.0)
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(found.n_words.astype(np.int64)), pa.array(s), pa.array(s >= threshold)], names=["doc", "n_words", "score", "kept"])
 
     return source.mapInArrow(score, "doc bigint, n_words bigint, score double, kept boolean").withColumnRenamed("doc", id_col)

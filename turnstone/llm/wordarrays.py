@@ -15,8 +15,8 @@ import xxhash
 
 from .common import mix, seeded
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: The base of all polynomial hashes here; odd, so it has an inverse modulo 2**64.
@@ -75,9 +75,9 @@ class Texts:
         buffers = binary.buffers()
         offsets = np.frombuffer(buffers[1], np.int64)[binary.offset : binary.offset + len(binary) + 1] if len(binary) else np.zeros(1, np.int64)
         raw = np.frombuffer(buffers[2], np.uint8)[offsets[0] : offsets[-1]] if len(binary) and buffers[2] is not None else np.zeros(0, np.uint8)
-        offsets = offsets - offsets[0]
+        self.offsets = offsets = offsets - offsets[0]
         self.raw_bytes = raw.tobytes() if fold is not None else b""
-        self.bytes = _LOWER[raw] if fold is not False else raw
+        self.bytes = LOWER[raw] if fold is not False else raw
         inside = ~_SPACE[raw]
         cut = np.zeros(len(raw) + 1, bool)
         cut[offsets] = True
