@@ -21,9 +21,10 @@ from pyspark.sql.window import Window
 from .common import Scratch, free_name, split_words
 
 LEVELS = ("domain", "lang", "source")
-#: Hex digits of the order key that name a bucket: running sums go over bucket
-#: totals, and only the bucket in which a budget ends is sorted by document.
-BUCKET_DIGITS = 3
+#: Hex digits of the order key that name a bucket, step by step: running sums
+#: go over the totals of buckets in the bucket in which the budget ends, and
+#: only the last one is sorted by document.
+BUCKET_DIGITS = (2, 4, 6)
 
 
 def weight_of(name: Column, weights: Mapping[str, int], default: int = 1) -> Column:
@@ -109,11 +110,11 @@ def mix_sources(
     before it there are fewer than what whole epochs leave of the budget;
     documents with the same id tie and are taken together.  Null domains,
     languages and sources count as empty strings, null texts as no tokens, and
-    null ids as one tie.  An empty table gives an empty one.
+    a null id as its text's hash.  An empty table gives an empty one.
 
     Running sums go over bucket totals of the order key, so a leaf of any size
-    is spread over all tasks; only the bucket in which its budget ends is
-    ordered by document.  The cut table has one row per leaf and is broadcast
+    is spread over all tasks; of 16 ** 6 buckets only the one in which its
+    budget ends is ordered by document.  The cut table has one row per leaf and is broadcast
     up to *broadcast_rows* leaves.
     """
     spark = docs.sparkSession
@@ -121,7 +122,7 @@ def mix_sources(
     into = free_name(docs, into)
     own = free_name(docs, "_mix")
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    parts = F.struct(text(domain).alias("domain"), text(F.col(lang_col)).alias("lang"), text(F.col(source_col)).alias("source"), F.size(split_words(F.col(text_col))).cast("long").alias("tokens"), F.col(id_col).cast("string").alias("id"))
+    parts = F.struct(text(domain).alias("domain"), text(F.col(lang_col)).alias("lang"), text(F.col(source_col)).alias("source"), F.size(split_words(F.col(text_col))).cast("long").alias("tokens"), F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("id"))
     rows = docs.withColumn(own, parts)
     sizes = scratch.keep(rows.select(f"{own}.*"), "sizes")
 
@@ -133,12 +134,16 @@ def mix_sources(
     small = lambda df: F.broadcast(df) if few else df
 
     keyed = sizes.join(small(budgets), [*LEVELS]).where("rest > 0").withColumn("key", order_key(seed, F.col("epoch"), F.col("id")))
-    keyed = keyed.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-    totals = keyed.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("tokens"), F.max("rest").alias("rest"))
-    upto = F.sum("tokens").over(Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    ends = totals.withColumn("before", upto - F.col("tokens")).where("before < rest").groupBy(*LEVELS).agg(F.max(F.struct("bucket", "before")).alias("last")).select(*LEVELS, F.col("last.bucket").alias("bucket"), F.col("last.before").alias("before"))
-    ends = scratch.keep(ends, "ends")
-    inside = keyed.join(small(ends), [*LEVELS, "bucket"]).groupBy(*LEVELS, "key").agg(F.sum("tokens").alias("tokens"), F.max("before").alias("before"), F.max("rest").alias("rest"))
+    # The documents of the bucket in which the budget ends, and the tokens before it.
+    inside = keyed.withColumn("before", F.lit(0).cast("long"))
+    for digits in BUCKET_DIGITS:
+        inside = inside.withColumn("bucket", F.substring("key", 1, digits))
+        totals = inside.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("tokens"), F.max("rest").alias("rest"), F.max("before").alias("before"))
+        upto = F.sum("tokens").over(Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+        ends = totals.withColumn("before", F.col("before") + upto - F.col("tokens")).where("before < rest").groupBy(*LEVELS).agg(F.max(F.struct("bucket", "before")).alias("last"))
+        ends = scratch.keep(ends.select(*LEVELS, F.col("last.bucket").alias("bucket"), F.col("last.before").alias("before")), "ends")
+        inside = keyed.withColumn("bucket", F.substring("key", 1, digits)).join(small(ends), [*LEVELS, "bucket"]).drop("bucket")
+    inside = inside.groupBy(*LEVELS, "key").agg(F.sum("tokens").alias("tokens"), F.max("before").alias("before"), F.max("rest").alias("rest"))
     upto = F.sum("tokens").over(Window.partitionBy(*LEVELS).orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     cuts = inside.withColumn("start", F.col("before") + upto - F.col("tokens")).where("start < rest").groupBy(*LEVELS).agg(F.max("key").alias("cut"))
     cuts = scratch.keep(budgets.join(cuts, [*LEVELS], "left").select(*LEVELS, "epoch", "cut"), "cuts")

@@ -111,7 +111,7 @@ def _sql_share(source: str, family: str, name: str) -> str:
 OP3_SQL = f"""
 WITH sizes AS (
   SELECT doc_id, lang AS lang0, source AS source0, 'd' || (coalesce(try_cast(regexp_extract(source, '[0-9]+') AS INT), 0) % 4) AS domain,
-    coalesce(lang, '') AS lang, coalesce(source, '') AS source, len({SQL_WORDS.format("text")})::HUGEINT AS tokens FROM documents
+    coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS id, len({SQL_WORDS.format("text")})::HUGEINT AS tokens FROM documents
 ), leaves AS (
   SELECT domain, lang, source, sum(tokens)::HUGEINT AS tokens, (2 * sum(tokens))::HUGEINT AS capacity, {_sql_weights("source")}::HUGEINT AS weight FROM sizes GROUP BY ALL
 ), languages AS (SELECT domain, lang, sum(capacity)::HUGEINT AS capacity, {_sql_weights("lang")}::HUGEINT AS weight FROM leaves GROUP BY domain, lang),
@@ -120,7 +120,7 @@ domain_budget AS {_sql_share("SELECT *, (SELECT sum(tokens)::HUGEINT * 600 // 10
 lang_budget AS {_sql_share("SELECT l.*, d.budget AS parent_budget FROM languages l JOIN domain_budget d USING (domain)", "domain", "lang")},
 leaf_budget AS {_sql_share("SELECT l.*, b.budget AS parent_budget FROM leaves l JOIN lang_budget b USING (domain, lang)", "domain, lang", "source")},
 ends AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epoch, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest FROM leaf_budget),
-keyed AS (SELECT s.*, epoch, rest, md5('3:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS key FROM sizes s JOIN ends USING (domain, lang, source)),
+keyed AS (SELECT s.*, epoch, rest, md5('3:' || epoch || ':' || id) AS key FROM sizes s JOIN ends USING (domain, lang, source)),
 placed AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key RANGE UNBOUNDED PRECEDING), 0)
   - sum(tokens) OVER (PARTITION BY domain, lang, source, key) AS start FROM keyed)
 SELECT doc_id, lang0 AS lang, source0 AS source, domain, tokens::BIGINT AS tokens, (epoch + CASE WHEN rest > 0 AND start < rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM placed
