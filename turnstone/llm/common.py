@@ -28,13 +28,16 @@ _written: list[tuple[SparkSession, str]] = []
 def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and all executors share.
 
-    It is the cluster's ``spark.checkpoint.dir``.  Only where that is unset, as
-    in tests on one machine, is a folder of this process used.
+    It is the cluster's ``spark.checkpoint.dir``.  Where that is unset, a
+    session on one machine, as in tests, uses a folder of this process and any
+    other one is refused.
     """
     global _own_root
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     if _own_root is None:
         _own_root = tempfile.mkdtemp(prefix="turnstone-")
         _written.append((spark, _own_root))

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 
-def _neighbour_minimum(edges: DataFrame, scratch: Scratch, own: bool) -> tuple[DataFrame, DataFrame]:
-    """Edges as (node, other), and for each node the least of itself and its others."""
+def _least(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """For each node of edges (node, other), the least of itself and its others."""
     least = edges.groupBy("node").agg(F.min("other").alias("least"))
-    least = least.select("node", F.least("node", "least").alias("least"))
-    return edges, scratch.keep(least, "least")
+    return scratch.keep(least.select("node", F.least("node", "least").alias("least")), "least")
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
@@ -33,12 +32,10 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     before = None
     for _ in range(max_rounds):
         both = tree.select(F.col("child").alias("node"), F.col("parent").alias("other")).unionByName(tree.select(F.col("parent").alias("node"), F.col("child").alias("other")))
-        both, least = _neighbour_minimum(both, scratch, True)
-        large = both.join(least, "node").where("other > node").select(F.col("other").alias("child"), F.col("least").alias("parent"))
+        large = both.join(_least(both, scratch), "node").where("other > node").select(F.col("other").alias("child"), F.col("least").alias("parent"))
         tree = scratch.keep(large.where("child <> parent").distinct(), "large")
         down = tree.select(F.col("child").alias("node"), F.col("parent").alias("other"))
-        down, least = _neighbour_minimum(down, scratch, True)
-        small = down.join(least, "node").select(F.explode(F.array("node", "other")).alias("child"), F.col("least").alias("parent"))
+        small = down.join(_least(down, scratch), "node").select(F.explode(F.array("node", "other")).alias("child"), F.col("least").alias("parent"))
         tree = scratch.keep(small.where("child <> parent").distinct(), "small")
         now = tree.agg(F.count("*"), F.sum(F.xxhash64("child", "parent").cast("decimal(38,0)"))).first()
         if now == before:

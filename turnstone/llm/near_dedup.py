@@ -34,6 +34,8 @@ from .components import connected_components
 SKETCH_BITS = 1024
 SAMPLE = 1024
 ROWS = 5
+#: Classes of a bucket that are compared with one another in one group of a join.
+BLOCK = 1024
 
 
 def bands_needed(percent: int, rows: int = ROWS, miss: float = 1e-6) -> int:
@@ -244,26 +246,30 @@ def _stray_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, perce
 
     Both lie in a bucket whose members fall into several components, and one
     of them, the stray, is not in the component of the bucket's least class.
-    The join meets every stray with its bucket's members, in splittable
-    blocks, and lets a pair out only in its first shared band.
+    The join meets every stray with its bucket's members and lets a pair out
+    only in its first shared band.  Both sides of a large bucket are dealt into
+    blocks of about BLOCK classes, and each pair of blocks is a key of its own.
     """
     labelled = members.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     labelled = scratch.keep(labelled, "labelled")
-    split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "class").alias("main"))
-    split = scratch.keep(split.where("low <> high").select("key", "main"), "split")
+    split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "class").alias("main"), F.count("*").alias("size"))
+    split = scratch.keep(split.where("low <> high").select("key", "main", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "split")
     if split.isEmpty():
         return None
     keyed = labelled.join(split, "key").join(classes.select("class", "n", "bits", "band_keys"), "class")
     keyed = scratch.keep(keyed.withColumn("stray", F.col("component") != F.col("main")), "open")
 
-    left = keyed.where("stray").select("key", "band", "pivot", *(F.col(c).alias(f"{c}_a") for c in ("class", "component", "n", "bits", "band_keys")))
-    right = keyed.select("key", *(F.col(c).alias(f"{c}_b") for c in ("class", "component", "stray", "n", "bits", "band_keys")))
+    own, other = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = keyed.where("stray").select("key", own.alias("block_a"), other.alias("block_b"), "band", "pivot", *(F.col(c).alias(f"{c}_a") for c in ("class", "component", "n", "bits", "band_keys")))
+    right = keyed.select("key", other.alias("block_a"), own.alias("block_b"), *(F.col(c).alias(f"{c}_b") for c in ("class", "component", "stray", "n", "bits", "band_keys")))
     earlier = F.lit(False)
     for i in range(bands - 1):
         earlier = earlier | ((F.col("band") > i) & (F.get("band_keys_a", F.lit(i)) == F.get("band_keys_b", F.lit(i))))
     pairs = left.join(
-        right.withColumnRenamed("key", "key_b"),
+        right.withColumnsRenamed({"key": "key_b", "block_a": "of_a", "block_b": "of_b"}),
         (F.col("key") == F.col("key_b"))
+        & (F.col("block_a") == F.col("of_a"))
+        & (F.col("block_b") == F.col("of_b"))
         & (F.col("component_a") != F.col("component_b"))
         & (F.col("class_b") != F.col("pivot"))
         & (~F.col("stray_b") | (F.col("class_a") < F.col("class_b")))
