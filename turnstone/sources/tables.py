@@ -32,7 +32,7 @@ def delete(spark: SparkSession, path: str) -> None:
 def temporary_path(spark: SparkSession, name: str) -> str:
     """A new path in the cluster's shared folder; a local one only on a single machine where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root and not spark.sparkContext.master.startswith("local"):
+    if not root and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     path = f"{(root or tempfile.mkdtemp(prefix='turnstone-')).rstrip('/')}/turnstone-{name}-{uuid.uuid4().hex}"
     _temporary.append((spark, path))
