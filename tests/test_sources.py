@@ -35,7 +35,7 @@ def silver(spark, raw):
 
 def test_tables_of_a_day(silver):
     counts = {k: len(v) for k, v in silver.items() if v}
-    assert counts == {"fragments": 1, "proceedings": 1, "subjects": 2, "talkers": 4, "texts": 4, "divisions": 1, "division_votes": 3, "bill_refs": 1}
+    assert counts == {"fragments": 1, "proceedings": 1, "subjects": 2, "talkers": 4, "texts": 4, "divisions": 1, "division_votes": 3, "bill_refs": 1, "parse_errors": 1}
     talkers = sorted(silver["talkers"], key=lambda r: r.document_order)
     assert [(t.member_source_id, t.kind, t.kind_inferred) for t in talkers] == [("m1", "question", False), ("m2", "answer", False), ("m3", "interjection", False), ("m1", "question", True)]
     assert [t.word_count for t in talkers] == [3, 3, 0, 2]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, BooleanType, DateType, FloatType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 _KEYS = "fragment_id string, jurisdiction string, date string, house string"
 _COLUMNS = {
@@ -19,7 +19,7 @@ _COLUMNS = {
     "attendees": "attendee_id string, kind string, name string, reference_id string",
     "meeting_time_marks": "mark_id string, kind string, time timestamp, label string",
 }
-_TYPES = {"string": StringType(), "int": IntegerType(), "boolean": BooleanType(), "timestamp": TimestampType()}
+_TYPES = {"string": StringType(), "int": IntegerType(), "bigint": LongType(), "float": FloatType(), "boolean": BooleanType(), "date": DateType(), "timestamp": TimestampType(), "array<float>": ArrayType(FloatType())}
 
 
 def _schema(columns: str) -> StructType:
@@ -31,7 +31,7 @@ PARTITIONS = ["jurisdiction", "date", "house"]
 
 #: Tables that do not come from transcripts.
 SIDE_TABLES: dict[str, StructType] = {
-    name: StructType.fromDDL(columns)
+    name: _schema(columns)
     for name, columns in {
         "members": "member_id string, source_member_id string, display_name string, title string, first_name string, other_names string, last_name string, date_of_birth date, house string, electorate string, party_name string, is_current boolean, deceased boolean, elected_date date, archived_date date, retrieved_at timestamp, jurisdiction string",
         "subject_themes": "subject_id string, fragment_id string, theme_id string, theme_name string, rank int, score float, engine string, model string, provider string, taxonomy_locale string, taxonomy_version int, model_slug string, jurisdiction string, date string, house string",
@@ -43,4 +43,4 @@ SIDE_TABLES: dict[str, StructType] = {
 }
 
 #: Files that could not be read, by the day they belong to.
-PARSE_ERRORS = StructType.fromDDL("jurisdiction string, date string, house string, name string, error string")
+PARSE_ERRORS = _schema("jurisdiction string, date string, house string, name string, error string")
