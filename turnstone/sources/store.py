@@ -37,6 +37,11 @@ def get_adapter(jurisdiction: str) -> Adapter:
     return _adapters[jurisdiction]()
 
 
+def all_adapters() -> dict[str, str]:
+    """What is known of each jurisdiction's source, in the order of registration."""
+    return {name: getattr(adapter, "source", "") for name, adapter in _adapters.items()}
+
+
 class RawStore:
     """``root/jurisdiction/date/house/file``; files are immutable unless forced."""
 
