@@ -15,6 +15,7 @@ import json
 import re
 import uuid
 import xml.etree.ElementTree as ET
+from collections import Counter
 from collections.abc import Iterable
 from zoneinfo import ZoneInfo
 
@@ -33,6 +34,14 @@ ROLL_AFTER, MOST_ROLLS = dt.timedelta(hours=12), 2
 #: Kinds that a later turn of the same member takes on.
 LASTING = ("speech", "question", "answer")
 KINDS = (*LASTING, "interjection")
+#: Events that mark a phase of the sitting, and the labels of those that only say so.
+PHASES = ("meetingopened", "meetingclosed", "meetingsuspended", "meetingresumed")
+SUSPENDED = re.compile(r"\[?sitting suspended from (\d{1,2})[:.](\d{2}) to (\d{1,2})[:.](\d{2})\]?\.?", re.I)
+OPENED = re.compile(r"the committee met at (\d{1,2})[:.](\d{2})\.?", re.I)
+#: "Ms Grey interjected."
+INTERJECTED = re.compile(r"(.+?)\s+interject(?:ed|ing)\s*[.!:]?", re.I)
+COUNTED = re.compile(r"(ayes|noes|pairs|abstentions)\s+(\d+)", re.I)
+TELLER = re.compile(r"\s*\(teller\)", re.I)
 VOTES = {"ayes": "AYES", "aye": "AYES", "noes": "NOES", "no": "NOES", "pairs": "PAIRS", "pair": "PAIRS", "abstentions": "ABSTENTIONS"}
 
 
@@ -76,6 +85,8 @@ class Day:
         self.rows: list[tuple[str, dict]] = []
         self.order = 0
         self.page: str | None = None
+        self.time: dt.datetime | None = None
+        self.unhandled: Counter[str] = Counter()
         self.proceedings: dict[str, dict] = {}
         self.seen_texts: set[str] = set()
         self.header: dict | None = None
@@ -158,30 +169,79 @@ class Day:
             return
         if source:
             self.seen_texts.add(source)
-        for event in node.iter("event"):
+        events = list(node.iter("event"))
+        if events and events[0].get("kind") == "interjection" and not clean("".join(_before(node, events[0]))):
+            self.interjection(node, events, parents, container)
+            return
+        for event in events:
             self.event(event, parents, container)
         kind = next((k for k in ("heading", "subheading", "item") if node.find(k) is not None), None)
         page = next((p.get("num") for p in node.iter("page")), None)
         self.page = page or self.page
         raw = "".join(_spoken(node))
-        time = parse_time(_attribute(node, "timeStamp", "time"))
+        self.time = parse_time(_attribute(node, "timeStamp", "time")) or self.time
         style = next((s for s in node.iter("span")), None)
         order = self.next()
         self.add("texts", parents | {
             "text_id": make_id(self.fragment, "text", source or "", index, order), "talker_id": talker and talker["talker_id"], "source_id": source, "kind": kind, "raw_text": raw, "clean_text": clean(raw), "para_index": index,
-            "page_no": self.page, "time_anchor": self.localized(time)[0] if time else None, "style": style.get("style") if style is not None else None, "mapped_style": style.get("mappedstyle") if style is not None else None, "document_order": order,
+            "page_no": self.page, "time_anchor": self.localized(self.time)[0], "style": style.get("style") if style is not None else None, "mapped_style": style.get("mappedstyle") if style is not None else None, "document_order": order,
         })
         if talker is not None:
             talker["paragraph_count"] += 1
             talker["word_count"] += len(clean(raw).split())
 
     def event(self, node: ET.Element, parents: dict, container: str) -> None:
+        """A mark of the sitting's phase, or the label of an interjection within someone's text."""
         kind, label = node.get("kind"), clean("".join(node.itertext()))
         if kind == "interjection":
-            order = self.next()
-            self.add("talkers", parents | {"talker_id": make_id(self.fragment, "talker", "", order), "member_source_id": node.get("id"), "member_reference_id": node.get("referenceid"), "name": label.rstrip(":") or None, "role": node.get("role"), "kind": kind, "kind_inferred": False, "paragraph_count": 0, "word_count": 0, "document_order": order, "_container": container})
-        elif kind:
-            self.add("meeting_time_marks", {"mark_id": make_id(self.fragment, "mark", self.next()), "kind": kind, "time": self.localized(parse_time(node.get("time")))[0], "label": label})
+            self.interjector([node], label, parents, container)
+            return
+        at = parse_time(node.get("time"))
+        if not kind:
+            clock = lambda hour, minute: dt.datetime.combine(self.day, dt.time(int(hour), int(minute))) if int(hour) < 24 and int(minute) < 60 else None
+            if m := SUSPENDED.fullmatch(label):
+                self.mark("meetingsuspended", clock(m[1], m[2]), label)
+                self.time = clock(m[3], m[4]) or self.time
+            elif m := OPENED.fullmatch(label):
+                self.mark("meetingopened", clock(m[1], m[2]), label)
+                self.time = clock(m[1], m[2]) or self.time
+            else:
+                self.unhandled["event without a kind"] += 1
+            return
+        self.time = at or self.time
+        if kind in PHASES:
+            self.mark(kind, at, label)
+        elif kind != "meetingtimestamp":
+            self.unhandled[f"event {kind}"] += 1
+
+    def mark(self, kind: str, at: dt.datetime | None, label: str) -> None:
+        self.add("meeting_time_marks", {"mark_id": make_id(self.fragment, "mark", self.next()), "kind": kind, "time": self.localized(at)[0], "label": label or None})
+
+    def interjector(self, events: list[ET.Element], label: str, parents: dict, container: str) -> dict:
+        """The turn of an interjection; a label may be split over several events, one of which has the member."""
+        known = next((e for e in events if e.get("id")), events[0])
+        stub = INTERJECTED.fullmatch(label)
+        order = self.next()
+        row = {"talker_id": make_id(self.fragment, "talker", "", order), "member_source_id": known.get("id"), "member_reference_id": known.get("referenceid"), "name": (stub[1] if stub else label).rstrip(":") or None, "role": known.get("role")}
+        return self.add("talkers", parents | row | {"kind": "interjection", "kind_inferred": False, "paragraph_count": 0, "word_count": 0, "document_order": order, "_container": container})
+
+    def interjection(self, node: ET.Element, events: list[ET.Element], parents: dict, container: str) -> None:
+        """A text that is an interjection: its words are the interjector's, or its whole sentence where it only says so."""
+        self.time = parse_time(_attribute(node, "timeStamp", "time")) or self.time
+        label = clean("".join("".join(e.itertext()) for e in events))
+        outside = "".join(_spoken(node))
+        words = clean(outside).lstrip(":").strip()
+        whole = f"{label} {words}" if words else label
+        if INTERJECTED.fullmatch(whole):
+            row, raw, said = self.interjector(events, whole, parents, container), whole, whole
+        else:
+            row, raw, said = self.interjector(events, label, parents, container), outside if words else label, words or label
+        order, source = self.next(), node.get("id")
+        self.add("texts", parents | {
+            "text_id": make_id(self.fragment, "text", source or "", 0, order), "talker_id": row["talker_id"], "source_id": source, "raw_text": raw, "clean_text": said, "para_index": 0, "page_no": self.page,
+            "time_anchor": self.localized(self.time)[0], "style": node.get("style"), "mapped_style": node.get("mappedstyle"), "document_order": order,
+        })
+        row["paragraph_count"], row["word_count"] = 1, len(said.split())
 
     def talker(self, node: ET.Element, parents: dict, container: str) -> None:
         order = self.next()
@@ -203,20 +263,38 @@ class Day:
                 index += 1
 
     def division(self, node: ET.Element, parents: dict) -> None:
+        """Counts and votes as elements, or as lines "Ayes 3" and tables with the group's name for a title."""
         order = self.next()
         counts = {k: _number(_attribute(node, f"{k}Count", "num") or _child(node, f"{k}Count")) for k in ("ayes", "noes", "pairs", "abstentions")}
+        own = make_id(self.fragment, "division", node.get("uid") or "", order)
+        row = self.add("divisions", {k: v for k, v in parents.items() if k != "proceeding_id"} | {"division_id": own, "uid": node.get("uid"), "source_id": node.get("id"), "document_order": order})
+        below, listed, index = parents | {"division_id": own}, [], 0
+        for child in node:
+            if child.tag == "page":
+                self.page = child.get("num") or self.page
+            elif child.tag == "talker":
+                self.talker(child, below, own)
+            elif child.tag == "data":
+                listed += [(m, m.get("name") or clean("".join(m.itertext())), VOTES.get((m.get("vote") or "").lower())) for m in child.iter("member")]
+            elif child.tag == "text":
+                title = child.find("table/rowtitle")
+                group = VOTES.get(clean("".join(title.itertext())).lower()) if title is not None else None
+                if group:
+                    names = [clean("".join(cell.itertext())) for row_ in child.findall("table/row") for cell in row_.iter("cell")]
+                    listed += [(ET.Element("member"), name, group) for name in names if name and name.lower() not in VOTES]
+                    continue
+                if m := COUNTED.fullmatch(clean("".join(_spoken(child)))):
+                    counts[m[1].lower()] = int(m[2])
+                self.text(child, below, own, index)
+                index += 1
+        for i, (member, name, vote) in enumerate(listed):
+            teller = member.get("teller") == "true" or bool(TELLER.search(name))
+            name = TELLER.sub("", name).strip() or None
+            self.add("division_votes", {"vote_id": make_id(own, "vote", member.get("id") or name, i), "division_id": own, "member_source_id": member.get("id"), "member_name": name, "vote": vote, "teller": teller, "proxy": member.get("proxy") == "true", "proxy_source_id": member.get("proxyId"), "proxy_name": member.get("proxyName")})
         result = (node.get("vote") or "").lower() or None
-        if result is None and counts["ayes"] is not None and counts["noes"] is not None and counts["ayes"] != counts["noes"]:
+        if result is None and None not in (counts["ayes"], counts["noes"]) and counts["ayes"] != counts["noes"]:
             result = "ayes" if counts["ayes"] > counts["noes"] else "noes"
-        own = make_id(self.fragment, "division", node.get("uid") or "", order)
-        self.add("divisions", {k: v for k, v in parents.items() if k != "proceeding_id"} | {"division_id": own, "uid": node.get("uid"), "source_id": node.get("id"), "result": result, "document_order": order} | {f"{k}_count": v for k, v in counts.items()})
-        for i, member in enumerate(node.iter("member")):
-            name = member.get("name") or clean("".join(member.itertext()))
-            teller = member.get("teller") == "true" or bool(re.search(r"\(teller\)", name, re.I))
-            name = re.sub(r"\s*\(teller\)", "", name, flags=re.I) or None
-            self.add("division_votes", {"vote_id": make_id(own, "vote", member.get("id") or name, i), "division_id": own, "member_source_id": member.get("id"), "member_name": name, "vote": VOTES.get((member.get("vote") or "").lower()), "teller": teller, "proxy": member.get("proxy") == "true"})
-        for child in node.iter("text"):
-            self.text(child, parents | {"division_id": own}, own)
+        row |= {"result": result} | {f"{k}_count": v for k, v in counts.items()}
 
     # -- passes over the day ------------------------------------------------------------------------
 
@@ -266,6 +344,20 @@ class Day:
         return [(t, {"fragment_id": self.fragment} | self.keys | {k: v for k, v in r.items() if not k.startswith("_")}) for t, r in self.rows]
 
 
+def _before(node: ET.Element, until: ET.Element) -> Iterable[str]:
+    """What is spoken in *node* before one of its descendants."""
+    stack = [iter([node])]
+    while stack:
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
+        elif child is until:
+            return
+        elif child.tag not in ("by", "timeStamp", "page"):
+            yield child.text or ""
+            stack.append(iter(child))
+
+
 def _spoken(node: ET.Element) -> Iterable[str]:
     """Text in reading order without speaker labels, time stamps and interjections."""
     if node.tag in ("by", "timeStamp", "page") or (node.tag == "event" and node.get("kind")):
@@ -310,6 +402,7 @@ def parse_day(files: pd.DataFrame) -> pd.DataFrame:
     except Exception as error:  # noqa: BLE001
         rows = []
         errors.append(("parse_errors", first_keys | {"house": first.house_code, "name": None, "error": f"{type(error).__name__}: {error}"[:500]}))
+    errors += [("parse_errors", first_keys | {"house": first.house_code, "name": None, "error": f"not understood: {what}, {n} times"}) for what, n in getattr(day, "unhandled", {}).items()]
     out = [(t, json.dumps({k: _plain(v) for k, v in r.items()}, ensure_ascii=False)) for t, r in [*rows, *errors]]
     return pd.DataFrame(out, columns=["table", "body"])
 
