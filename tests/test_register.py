@@ -13,3 +13,18 @@ def test_current_row_wins(spark, tmp_path):
     assert got["1"].member_id != got["2"].member_id
     register.write_register(members, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).where("jurisdiction = 'sa'").count() == 2
+
+
+def test_service_snapshots(spark, tmp_path):
+    import datetime as dt
+    import json
+
+    from turnstone.sources import register
+
+    person = {"pm_Id": 7, "pm_FirstName": " Ida ", "pm_LastName": "Moss", "pm_DateOfBirth": "Jul 12 1975 12:00AM", "mb_ElectedDate": "2010-03-20T00:00:00", "pp_name": "Greens", "ho_name": "Upper", "pm_Deceased": False, "pm_Title": ""}
+    (tmp_path / "current.json").write_text(json.dumps([person]))
+    (tmp_path / "former.json").write_text(json.dumps([person | {"pp_name": "Old", "pm_ArchiveDate": "2009-01-01"}, {"pm_Id": 8, "pm_LastName": "Reed", "pm_DateOfBirth": "some day"}, {"pm_LastName": "Nobody"}]))
+    rows = {r.source_member_id: r for r in register.from_service_snapshots(spark, [str(tmp_path / "current.json")], [str(tmp_path / "former.json")]).collect()}
+    assert set(rows) == {"7", "8"} and rows["7"].is_current and not rows["8"].is_current
+    assert (rows["7"].display_name, rows["7"].party_name, rows["7"].house, rows["7"].title) == ("Ida Moss", "Greens", "Upper", None)
+    assert rows["7"].date_of_birth == dt.date(1975, 7, 12) and rows["7"].elected_date == dt.date(2010, 3, 20) and rows["8"].date_of_birth is None and rows["8"].display_name == "Reed"

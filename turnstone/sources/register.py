@@ -19,10 +19,12 @@ def preferred(rows: DataFrame, keys: list[str], seen: str) -> DataFrame:
 
 
 def any_date(text: Column) -> Column:
-    """A date written 2025-01-31 or 31/01/2025; null for anything else."""
+    """A date written 2025-01-31, 31/01/2025 or Jan 31 2025; null for anything else."""
     iso = F.regexp_extract(text, r"^\s*(\d{4}-\d{2}-\d{2})", 1).try_cast("date")
     day = F.regexp_replace(F.regexp_extract(text, r"^\s*(\d{1,2}/\d{1,2}/\d{4})", 1), r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1").try_cast("date")
-    return F.coalesce(iso, day)
+    words = F.regexp_extract(text, r"^\s*([A-Z][a-z]{2}\s+\d{1,2}\s+\d{4})", 1)
+    named = F.try_to_timestamp(F.regexp_replace(words, r"\s+", " "), F.lit("MMM d yyyy")).cast("date")
+    return F.coalesce(iso, day, named)
 
 
 def from_json_snapshots(spark: SparkSession, paths: list[str], jurisdiction: str) -> DataFrame:
@@ -36,6 +38,27 @@ def from_json_snapshots(spark: SparkSession, paths: list[str], jurisdiction: str
     return one.select(member.alias("member_id"), *(c.split()[0] for c in COLUMNS.split(", ")), F.current_timestamp().alias("retrieved_at"), F.lit(jurisdiction).alias("jurisdiction"))
 
 
+#: The names of fields in the snapshots of the members' service.
+SERVICE_FIELDS = {
+    "source_member_id": "pm_Id", "title": "pm_Title", "first_name": "pm_FirstName", "other_names": "pm_OtherNames", "last_name": "pm_LastName", "date_of_birth": "pm_DateOfBirth",
+    "house": "houseName", "electorate": "electorate", "party_name": "pp_name", "deceased": "pm_Deceased", "elected_date": "mb_ElectedDate", "archived_date": "pm_ArchiveDate",
+}
+
+
+def from_service_snapshots(spark: SparkSession, current: list[str], former: list[str], jurisdiction: str = "sa") -> DataFrame:
+    """The register of a members' service; whoever is in both lists keeps the current row."""
+    names = [*SERVICE_FIELDS.values(), "ho_name"]
+    schema = ", ".join(f"{n} {'boolean' if n == 'pm_Deceased' else 'string'}" for n in names)
+    read = lambda paths, is_current: spark.read.schema(schema).option("multiLine", True).json(paths).withColumn("is_current", F.lit(is_current))
+    rows = read(current, True).unionByName(read(former, False)).where("pm_Id is not null")
+    said = lambda c: F.nullif(F.trim(c), F.lit(""))
+    columns = {name: F.col(field) if name == "deceased" else said(F.coalesce(field, "ho_name") if name == "house" else F.col(field)) for name, field in SERVICE_FIELDS.items()}
+    rows = rows.select("is_current", *(any_date(c).alias(n) if n.endswith("_date") or n.startswith("date_") else c.alias(n) for n, c in columns.items()))
+    one = preferred(rows.withColumn("display_name", F.concat_ws(" ", "first_name", "last_name")), ["source_member_id"], "archived_date")
+    member = deterministic_id(F.lit(jurisdiction), F.lit("member"), F.col("source_member_id"))
+    return one.select(member.alias("member_id"), *(c.split()[0] for c in COLUMNS.split(", ")), F.current_timestamp().alias("retrieved_at"), F.lit(jurisdiction).alias("jurisdiction"))
+
+
 def write_register(members: DataFrame, path: str) -> None:
     """Replace the register of the jurisdictions at hand."""
     overwrite_partitions(members, path, ["jurisdiction"])
