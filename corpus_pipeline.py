@@ -3,6 +3,10 @@
 ``run(spark, sf_dir)`` applies STAGES to the table of documents.  A stage takes
 (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of documents.
+
+Every stage takes nulls in any column, empty and very long texts, repeated
+rows, an empty table and columns of other names; what it does with them stands
+in its docstring and, in full, in that of its operator.
 """
 
 from __future__ import annotations
@@ -15,30 +19,50 @@ from turnstone.llm.common import Scratch
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null and empty texts have no words and go; null languages and sources are
+    groups of their own; equal rows are judged alike.
+    """
     return quality_rules.quality_rules(docs, into="quality").where("quality.kept").select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least id, of each group of near duplicates."""
+    """One document, the least id, of each group of near duplicates.
+
+    Texts without words, and documents without an id, are near nothing and
+    stay.  Rows that share an id stay or go together.
+    """
     groups = near_dedup.near_duplicates(docs, percent=80)
     dropped = Scratch(spark, "dropped").keep(groups.where("not kept").select("doc_id"), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Null and empty texts hold nothing and stay, as do documents without an id.
+    Rows that share an id stay or go together.
+    """
     return decontaminate.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the budget of each domain, language and source takes."""
+    """The documents that the budget of each domain, language and source takes.
+
+    Null languages and sources count as empty strings.  Documents that share an
+    id, or without one their text, tie and are taken together.
+    """
     taken = mixing.mix_sources(docs, queries.domain_of(F.col("source")), queries.MIX_WEIGHTS, budget_permille=700, epochs=1)
     return taken.where("mix.copies > 0").select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids written to shards, and the digest of each document read back from them."""
+    """Token ids written to shards, and the digest of each document read back from them.
+
+    Every row has a digest: null and empty texts the end id alone, documents
+    without an id before all others.
+    """
     return queries.token_digest(spark, docs)
 
 

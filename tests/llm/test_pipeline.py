@@ -45,6 +45,21 @@ def test_stages(spark):
     assert len(got) == mixed.count()
 
 
+def test_stages_take_nulls_repeats_and_empty_tables(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    words = " ".join(f"word{i} goes on" for i in range(30)) + "."
+    rows = [(1, words, "en", "src0", None), (1, words, "en", "src0", None), (2, words, None, None, 7), (None, words, "de", "src1", 7), (3, None, "en", "src0", 7), (4, "", "en", None, 0), (5, "long " * 50_000, "en", "src0", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = {"quality rules": [1, 1, 2, None], "near-duplicate removal": [1, 1, 3, 4, 5, None], "benchmark decontamination": [1, 1, 2, 3, 4, 5, None]}
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, sf_dir).collect()
+        if name in want:
+            assert sorted((r.doc_id for r in got), key=str) == sorted(want[name], key=str), name
+        if name == "token ids":
+            assert len(got) == len(rows) and {r.n_tokens for r in got if r.doc_id in (3, 4)} == {1}
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
 def test_registry():
     assert {name.split("_")[0] for name in queries.QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
     assert set(queries.SQL) <= set(queries.QUERIES)
