@@ -117,3 +117,11 @@ def test_bad_files_are_recorded(spark, tmp_path):
     (folder / "2.xml").write_text("<broken")
     errors = normalize(raw_files(spark, str(tmp_path)))["parse_errors"].collect()
     assert "2.xml" in {e.name for e in errors} and all(e.house == "reps" and e.error for e in errors)
+
+
+def test_publish(spark, cubes, tmp_path):
+    report = gold.publish(spark, cubes[3], str(tmp_path / "staged"), texts=cubes[2]["texts"], least_coverage=0.5)
+    assert set(report) == set(gold.CUBES) and report["bills"]["rows"] == 1 and all(r["bytes"] > 0 for r in report.values())
+    assert gold.refresh_card("| `bills` | 12,345 | x |\n| other | 7 |", report) == "| `bills` | 1 | x |\n| other | 7 |"
+    with pytest.raises(ValueError):
+        gold.publish(spark, cubes[3], str(tmp_path / "s"), texts=cubes[2]["texts"].withColumn("subject_id", F.lit(None)))

@@ -97,7 +97,11 @@ def fetch_size(k: int) -> int:
 
 
 def hydrate(hits: DataFrame, texts: DataFrame, subjects: DataFrame, talkers: DataFrame) -> DataFrame:
-    """Metadata of hits (text_id, score), best first; hits whose text is gone vanish, and no prose is returned."""
+    """Metadata of hits (text_id, score), best first; hits whose text is gone vanish, and no prose is returned.
+
+    The best MOST_FETCHED hits, which are all that a search fetches, are broadcast.
+    """
+    hits = hits.orderBy(F.col("score").desc(), "text_id").limit(MOST_FETCHED)
     where = texts.select("text_id", "subject_id", "talker_id", "jurisdiction", "date", "house", "page_no")
     named = where.join(F.broadcast(hits), "text_id").join(subjects.select("subject_id", F.col("name").alias("subject")), "subject_id", "left")
     return named.join(talkers.select("talker_id", F.col("name").alias("speaker"), F.col("kind").alias("talker_kind")), "talker_id", "left").orderBy(F.col("score").desc(), "text_id")

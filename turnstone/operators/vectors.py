@@ -14,6 +14,10 @@ from pyspark.sql.window import Window
 from turnstone.functions.columns import cosine
 
 
+#: Most themes that are broadcast to score every vector by.
+MOST_THEMES = 5000
+
+
 def top_k(vectors: DataFrame, query: DataFrame, k: int, vector_col: str = "embedding") -> DataFrame:
     """The *k* rows most similar to the single row of *query*, with ``score``.
 
@@ -34,10 +38,12 @@ def centroids(vectors: DataFrame, label_col: str = "label", vector_col: str = "e
 def classify(vectors: DataFrame, themes: DataFrame, id_col: str, theme_col: str, top: int = 3, min_score: float = 0.25, vector_col: str = "embedding") -> DataFrame:
     """Up to *top* themes of each vector with a cosine of at least *min_score*.
 
-    Themes are a fixed vocabulary of a few dozen rows.  They are gathered into
-    one broadcast array, so each vector is scored within its own row: no pairs
-    are shuffled or sorted.
+    Themes are a fixed vocabulary of a few dozen rows, MOST_THEMES at most.
+    They are gathered into one broadcast array, so each vector is scored within
+    its own row: no pairs are shuffled or sorted.
     """
+    if themes.limit(MOST_THEMES + 1).count() > MOST_THEMES:
+        raise ValueError(f"more than {MOST_THEMES} themes; search an index of them instead")
     listed = themes.agg(F.sort_array(F.collect_list(F.struct(F.col(theme_col).alias("theme"), F.col(vector_col).alias("v")))).alias("_themes"))
     scored = vectors.crossJoin(F.broadcast(listed))
     each = F.transform("_themes", lambda t: F.struct((-F.round(cosine(F.col(vector_col), t["v"]), 5)).alias("minus"), t["theme"].alias("theme")))

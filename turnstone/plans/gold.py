@@ -10,6 +10,7 @@ latest of several values is asked for, the later turn of a day wins.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -319,3 +320,26 @@ def database(spark: SparkSession, out: str, name: str, silver: Mapping[str, Data
     for table, df in made.items():
         df.write.mode("overwrite").saveAsTable(f"`{name}`.`{table}`")
     return list(made)
+
+
+def publish(spark: SparkSession, out: str, staging: str, least_coverage: float = 0.95, force: bool = False, texts: DataFrame | None = None) -> dict[str, dict[str, int]]:
+    """Copy the cubes under *out* to *staging*; rows and bytes of each.
+
+    Given the *texts*, their subjects must be known for *least_coverage* of the
+    rows, unless forced.
+    """
+    if texts is not None:
+        tables.require_coverage(texts, "subject_id", least_coverage, force)
+    report = {}
+    for name in CUBES:
+        path, target = f"{out}/{name}.parquet", f"{staging}/{name}.parquet"
+        if tables.exists(spark, path):
+            spark.read.parquet(path).hint("rebalance").write.mode("overwrite").option("compression", "zstd").parquet(target)
+            report[name] = {"rows": spark.read.parquet(target).count(), "bytes": tables.size(spark, target)}
+    return report
+
+
+def refresh_card(card: str, report: Mapping[str, Mapping[str, int]]) -> str:
+    """A data set's card with the row counts of *report* in its table: ``| `name` | 1,234 | ...``."""
+    counted = lambda m: f"{m[1]}{report[m[2]]['rows']:,}" if m[2] in report else m[0]
+    return re.sub(r"(\|\s*`?(\w+)`?\s*\|\s*)[\d,]+", counted, card)

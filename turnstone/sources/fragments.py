@@ -66,20 +66,21 @@ class FragmentDay(Day):
         for division in node.findall("division"):
             self.votes(division, parents)
         talker, index = None, 0
-        for p in body if body is not None else ():
-            marker = next((s for s in p.iter() if s.get("data-mode") == "member" and _name(s) in ("span", "b")), None)
-            if marker is not None and marker.get("data-value"):
+        for p in (x for x in body.iter() if _name(x) == "p") if body is not None else ():
+            # Markers without an id open no turn, and links of this mode only mark a place.
+            marker = next((s for s in p.iter() if s.get("data-mode") == "member" and _name(s) in ("span", "b") and (s.get("data-value") or "").strip()), None)
+            if marker is not None:
                 talker, index = self.claim(marker, waiting, parents, own), 0
             self.paragraph(p, parents, talker, index)
             index += 1
 
     def claim(self, marker: ET.Element, waiting: dict[str, deque], parents: dict, container: str) -> dict:
-        member = marker.get("data-value")
+        member = marker.get("data-value").strip()
         kind, who = waiting[member].popleft() if waiting[member] else ("speech", None)
         order = self.next()
         value = lambda name: clean(who.findtext(name)) or None if who is not None else None
         return self.add("talkers", parents | {
-            "talker_id": make_id(self.fragment, "talker", "", order), "member_source_id": member, "name": value("name") or clean("".join(marker.itertext())), "kind": kind, "electorate": value("electorate"), "portfolios": "[]",
+            "talker_id": make_id(self.fragment, "talker", "", order), "member_source_id": member, "name": value("name") or clean("".join(marker.itertext())).rstrip(":").strip() or None, "kind": kind, "electorate": value("electorate"), "portfolios": "[]",
             "start_time": parse_time(value("talk.time")), "kind_inferred": False, "paragraph_count": 0, "word_count": 0, "document_order": order, "_container": container,
         })
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +64,85 @@ def from_service_snapshots(spark: SparkSession, current: list[str], former: list
     return one.select(member.alias("member_id"), *(c.split()[0] for c in COLUMNS.split(", ")), F.current_timestamp().alias("retrieved_at"), F.lit(jurisdiction).alias("jurisdiction"))
 
 
+class _Rows(HTMLParser):
+    """Rows of a page's tables: per cell its lines and its first link, and whether it is a heading."""
+
+    def __init__(self, page: str):
+        super().__init__()
+        self.tables: list[list[list[dict]]] = []
+        self.ids: list[str | None] = []
+        self.feed(page)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        named = dict(attrs)
+        if tag == "table":
+            self.tables.append([])
+            self.ids.append(named.get("id"))
+        elif self.tables and tag == "tr":
+            self.tables[-1].append([])
+        elif self.tables and self.tables[-1] and tag in ("td", "th"):
+            self.tables[-1][-1].append({"lines": [], "link": None})
+        elif self.tables and self.tables[-1] and self.tables[-1][-1] and tag == "a":
+            cell = self.tables[-1][-1][-1]
+            cell["link"] = cell["link"] or named.get("href")
+
+    def handle_data(self, data: str) -> None:
+        if self.tables and self.tables[-1] and self.tables[-1][-1] and data.strip():
+            self.tables[-1][-1][-1]["lines"].append(" ".join(data.split()))
+
+
+HOUSES = {"LA": "Legislative Assembly", "LC": "Legislative Council"}
+_TITLE = re.compile(r"(Mr|Mrs|Ms|Miss|Dr|The Hon\.?|Hon\.?|Rev(?:erend)?|Sir|Dame|Lady|Prof\.?)\s+(.*)")
+
+
+def members_page(page: str, is_current: bool) -> list[dict]:
+    """Members in the tables of a page: "Last, First" with a link that ends in ``pk=<id>``.
+
+    The tables of current members name their columns; those of former ones hold
+    the name, the date of birth and a note that may say "deceased".
+    """
+    out = []
+    for table in _Rows(page).tables:
+        heads = [" ".join(c["lines"]) for c in table[0]] if table else []
+        for row in table[1:] if is_current else table:
+            linked = next((c for c in row if c["link"] and re.search(r"pk=(\w+)", c["link"])), None)
+            if linked is None:
+                continue
+            last, _, first = (x.strip() or None for x in " ".join(linked["lines"]).partition(","))
+            titled = _TITLE.match(first or "")
+            title, first = (titled[1], titled[2] or None) if titled and not is_current else (None, first)
+            cells = dict(zip(heads, row, strict=False)) if is_current else {}
+            said = lambda name, cells=cells: " ".join(cells[name]["lines"]) or None if name in cells else None
+            seat = next((m[1] for line in cells.get("Position", {}).get("lines", ()) if (m := re.fullmatch(r"Member for (.+)", line))), None)
+            others = [" ".join(c["lines"]) for c in row if c is not linked]
+            out.append({
+                "source_member_id": re.search(r"pk=(\w+)", linked["link"])[1], "display_name": " ".join(filter(None, (first, last))), "title": title, "first_name": first, "last_name": last, "is_current": is_current,
+                "house": HOUSES.get(said("House") or "", said("House")), "electorate": seat, "party_name": said("Party"), "date_of_birth": next((x for x in others if re.fullmatch(r"\d{1,2}/\d{1,2}/\d{4}", x)), None) if not is_current else None,
+                "deceased": any("deceased" in x.lower() for x in others) if not is_current and len(others) > 1 else None,
+            })
+    return out
+
+
+def from_pages(spark: SparkSession, current: list[str], former: list[str], jurisdiction: str = "nsw") -> DataFrame:
+    """The register of saved pages of current and former members, parsed where they lie."""
+    fields = "source_member_id string, display_name string, title string, first_name string, last_name string, is_current boolean, house string, electorate string, party_name string, date_of_birth string, deceased boolean"
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def parsed(paths: list[str], is_current: bool) -> DataFrame:
+        def run(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in pages:
+                rows = [r for content in part["content"] for r in members_page(bytes(content).decode("utf-8", "replace"), is_current)]
+                yield pd.DataFrame(rows, columns=names).astype(object)
+
+        return spark.read.format("binaryFile").load(paths).select("content").mapInPandas(run, fields)
+
+    rows = parsed(current, True).unionByName(parsed(former, False)).withColumn("date_of_birth", any_date(F.col("date_of_birth")))
+    missing = [c for c in COLUMNS.split(", ") if c.split()[0] not in names]
+    rows = preferred(rows.withColumns({c.split()[0]: F.lit(None).cast(c.split()[1]) for c in missing}), ["source_member_id"], "display_name")
+    member = deterministic_id(F.lit(jurisdiction), F.lit("member"), F.col("source_member_id"))
+    return rows.select(member.alias("member_id"), *(c.split()[0] for c in COLUMNS.split(", ")), F.current_timestamp().alias("retrieved_at"), F.lit(jurisdiction).alias("jurisdiction"))
+
+
 def write_register(members: DataFrame, path: str) -> None:
     """Replace the register of the jurisdictions at hand."""
     overwrite_partitions(members, path, ["jurisdiction"])

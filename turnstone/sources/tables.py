@@ -24,6 +24,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path."""
+    fs, target = _file_system(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
