@@ -26,7 +26,7 @@ LABELLERS = ("symbols", "capitals", "repeats", "stutters", "lines", "word_length
 #: Bound of the sample that the scorer is trained on, in documents.
 SAMPLE_DOCS = 6000
 BINS = 1 << 16
-STEPS = 200
+STEPS = 100
 
 _PLAIN = re.compile(r"[\"'(]?[^\W\d_]+(?:['’-][^\W\d_]+)*[\"')]?[,.;:!?]?[\"')]?")
 _SYMBOL_BYTES = np.zeros(256, bool)
@@ -201,7 +201,7 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, st
     if not rows:
         return weights
     bins, values = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
     speed = np.full(BINS, 1e-8)
     for _ in range(steps):
         score = 1 / (1 + np.exp(-np.bincount(owner, weights[bins] * values, len(rows))))
@@ -221,8 +221,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in slices(batch.num_rows, _TEXTS):
             found = Measured(batch.column(1).slice(a, b - a))
-            bins, values = zip(*found.rows(), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.pattern.astype(np.int32)), pa.array(bins, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], names=["pattern", "bins", "values"])
+            cells = [(bins.astype("<i4").tobytes(), values.astype("<f4").tobytes()) for bins, values in found.rows()]
+            yield pa.RecordBatch.from_arrays([pa.array(found.pattern.astype(np.int32)), *(pa.array(x, pa.binary()) for x in zip(*cells, strict=True))], names=["pattern", "bins", "values"])
 
 
 def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample_docs: int = SAMPLE_DOCS, threshold: float = 0.5, seed: int = 2) -> DataFrame:
@@ -243,8 +243,8 @@ def classify_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     order = np.argsort(patterns)
     patterns, counts = patterns[order], counts[order]
     posterior = dict(zip(patterns.tolist(), fit_labellers(patterns, counts)[2].tolist() if len(patterns) else [], strict=True))
-    sample = sample_rows(source, sample_docs, seed, int(counts.sum())).mapInArrow(_sampled, "pattern int, bins array<bigint>, values array<double>").collect()
-    weights = fit_scorer([(np.array(r.bins), np.array(r["values"])) for r in sample], np.array([posterior[r.pattern] for r in sample]))
+    sample = sample_rows(source, sample_docs, seed, int(counts.sum())).mapInArrow(_sampled, "pattern int, bins binary, values binary").collect()
+    weights = fit_scorer([(np.frombuffer(r.bins, "<i4"), np.frombuffer(r["values"], "<f4")) for r in sample], np.array([posterior[r.pattern] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
