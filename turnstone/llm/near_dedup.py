@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordHashes, mix, seeded, shingle_hashes, slices, text_words
+from .common import Scratch, WordHashes, lean, mix, seeded, shingle_hashes, slices, text_words
 from .components import connected_components
 
 #: Bits of a parity bitmap and the size of the bottom-k MinHash sample folded
@@ -184,7 +184,7 @@ def near_duplicates(
     scratch = Scratch(spark, "near")
     bands = bands_needed(percent, rows, miss)
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("body"))
-    signed = scratch.keep(source.mapInArrow(_signer(shingle, bands, rows, seed), _SIGNED), "signed")
+    signed = scratch.keep(source.mapInArrow(lean(_signer(shingle, bands, rows, seed)), _SIGNED), "signed")
 
     prints = ["print1", "print2", "n"]
     classes = scratch.keep(
@@ -234,7 +234,7 @@ def _confirmed(pairs: DataFrame, pool: DataFrame, shingle: int, percent: int) ->
     left = pool.select(F.col("doc").alias("a"), F.col("body").alias("body_a"))
     right = pool.select(F.col("doc").alias("b"), F.col("body").alias("body_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b")
-    return both.mapInArrow(_verifier(shingle, percent), "a bigint, b bigint")
+    return both.mapInArrow(lean(_verifier(shingle, percent)), "a bigint, b bigint")
 
 
 def _stray_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, percent: int, bands: int, scratch: Scratch, best_only: bool) -> DataFrame | None:

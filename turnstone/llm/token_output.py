@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sample_rows, slices
+from .common import lean, sample_rows, sized_slices
 from .wordarrays import Texts
 
 MAGIC = b"TSTOKID1"
@@ -52,12 +52,20 @@ SHARD_DOCS = 8192
 #: A shard also ends when its ids take so many bytes before compression.
 RAW_BYTES = 32 << 20
 LEVEL = 3
+#: Documents, and bytes of their texts, that are encoded at once.
+BATCH_DOCS = 1024
+BATCH_BYTES = 2 << 20
 
 
 #: Fixed value: the split pattern of vocabularies whose tokens never reach over white space.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+#: Bytes of words that hold nothing but letters, each of which is its own composed form: a-z, A-Z and U+00C0 to U+00FF.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), 0xC3, *(x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7))]] = True
+
+
 def splits_at_space(config: dict) -> bool:
     """Whether a tokenizer gives a text the ids of its words, one after the other.
 
@@ -81,19 +89,57 @@ def splits_at_space(config: dict) -> bool:
     )
 
 
+def runs(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Runs of *values*, one after the other."""
+    ends = np.cumsum(counts)
+    return values[np.repeat(starts - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+class Known:
+    """Ids of words by their 64-bit keys: sorted keys, and where each one's run lies in ``ids``.
+
+    Arrays take some 40 bytes a word, a fifth of what dictionaries of Python
+    integers do, and a batch of keys is sought at once.  Place 0 of ``ids`` has the end id.
+    """
+
+    def __init__(self, end: np.ndarray):
+        self.ids = end
+        self.keys, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for those that aren't known."""
+        if not len(self):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def add(self, keys: np.ndarray, starts: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """New keys in ascending order, with their runs in *ids*."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.counts = np.insert(self.keys, at, keys), np.insert(self.counts, at, counts)
+        self.starts = np.insert(self.starts, at, starts + len(self.ids))
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class Encoder:
     """Serialised ids of texts, without special tokens, then the end id.
 
     Where ``splits_at_space`` holds, texts are cut into words and the ids of
     each word are remembered; two generations are kept, and the older one goes
     when the newer one has LIMIT words.  Unknown words of a batch are encoded in
-    one call, between marks whose ids are known.  Other tokenizers, and texts
-    that hold the string of an added token, encode whole texts.
+    two calls: those of letters alone, one piece each, end where an id ends a
+    piece, and the others are told apart by marks whose id is known.  Other
+    tokenizers, and texts that hold the string of an added token, encode whole
+    texts.
     """
 
     LIMIT = 500_000
+    #: Bytes of a word beyond which it is encoded alone.
     LONGEST = 64
-    #: A control character: as a word of its own it has fixed ids.
+    #: A control character: as a word of its own it has one fixed id, which no other character has.
     MARK = "\x01"
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -102,62 +148,84 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         config = json.loads(self.tokenizer.to_str())
-        self.by_word = splits_at_space(config)
         self.folds = any(n["type"] == "Lowercase" for n in (config["normalizer"] or {}).get("normalizers", []))
         self.added = [t["content"].encode() for t in config["added_tokens"]]
-        self.end = np.array([end_id], np.uint32)
-        self.clear()
-        self.mark = self.ids(self.MARK).tobytes() if self.by_word else b""
-
-    def clear(self) -> None:
-        """Forget all words; place 0 holds the end id."""
-        self.places: dict[int, int] = {}
-        self.older = ({}, self.end, np.zeros(0, np.int64), np.zeros(0, np.int64))
-        self.buffer, self.starts, self.counts = self.end, np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.end = np.array([end_id], "<u4")
+        self.newer, self.older = Known(self.end), Known(self.end)
+        mark = self.ids(self.MARK)
+        self.by_word = splits_at_space(config) and len(mark) == 1
+        self.marks, self.last = np.zeros((2, max(self.tokenizer.get_vocab().values(), default=0) + 1), bool)
+        if self.by_word:
+            self.marks[mark] = True
+            if suffix := config["model"].get("end_of_word_suffix"):
+                self.last[[i for token, i in config["model"]["vocab"].items() if token.endswith(suffix)]] = True
 
     def ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of words that aren't known yet."""
-        plain = [i for i, w in enumerate(words) if len(w) <= self.LONGEST and self.MARK not in w]
-        found: dict[int, np.ndarray] = {}
-        if plain:
-            parts = _split_aligned(self.ids(f" {self.MARK} ".join(words[i] for i in plain)).tobytes(), self.mark)
-            if len(parts) == len(plain):
-                found = {i: np.frombuffer(x, "<u4") for i, x in zip(plain, parts, strict=True)}
-        return [found[i] if i in found else self.ids(w) for i, w in enumerate(words)]
+    def joined(self, split: Texts, words: np.ndarray, gap: str) -> str:
+        """*words*, by number, each with *gap* after it."""
+        begin, size = split.start[words], split.end[words] - split.start[words]
+        own = np.arange(int(size.sum())) + np.repeat(len(gap) * np.arange(len(words)), size)
+        out, between = np.zeros(len(own) + len(gap) * len(words), np.uint8), np.ones(len(own) + len(gap) * len(words), bool)
+        between[own] = False
+        out[own] = runs(split.bytes, begin, size)
+        out[between] = np.tile(np.frombuffer(gap.encode(), np.uint8), len(words))
+        return out.tobytes().decode()
+
+    def learn(self, split: Texts, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and counts of the ids of *words*, by number, and the ids."""
+        size = split.end[words] - split.start[words]
+        body, first = runs(split.bytes, split.start[words], size), np.cumsum(size) - size
+        odd = (size > self.LONGEST) | np.logical_or.reduceat(body == ord(self.MARK), first)
+        letters = ~odd & np.logical_and.reduceat(_LETTER[body], first) & self.last.any()
+        counts, order, parts = np.zeros(len(words), np.int64), [], []
+        for chosen, gap, ends, marks in ((letters, " ", self.last, 0), (~letters & ~odd, f" {self.MARK} ", self.marks, 1)):
+            chosen = np.flatnonzero(chosen)
+            found = self.ids(self.joined(split, words[chosen], gap))
+            at = np.flatnonzero(ends[found])
+            if len(at) != len(chosen) or (len(at) and at[-1] != len(found) - 1):
+                odd[chosen] = True
+                continue
+            counts[chosen] = np.diff(at, prepend=-1) - marks
+            order.append(chosen)
+            parts.append(found[~ends[found]] if marks else found)
+        alone = [self.ids(split.word(i).decode()) for i in words[odd]]
+        counts[odd] = [len(x) for x in alone]
+        order = np.concatenate([*order, np.flatnonzero(odd)])
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return starts, counts, np.concatenate([*parts, *alone])
+
+    def places(self, split: Texts, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The places in ``newer`` of ascending *keys*, which are those of the words *at*."""
+        if len(self.newer) > self.LIMIT:
+            self.newer, self.older = Known(self.end), self.newer
+        places = self.newer.find(keys)
+        missing = np.flatnonzero(places < 0)
+        if not len(missing):
+            return places
+        old = self.older.find(keys[missing])
+        seen, place = missing[old >= 0], old[old >= 0]
+        counts = self.older.counts[place]
+        self.newer.add(keys[seen], np.cumsum(counts) - counts, counts, runs(self.older.ids, self.older.starts[place], counts))
+        fresh = missing[old < 0]
+        if len(fresh):
+            self.newer.add(keys[fresh], *self.learn(split, at[fresh]))
+        return self.newer.find(keys)
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         if not self.by_word:
             return self.whole(texts)
         split = Texts(texts, places=False, fold=self.folds, stops=True)
         keys, at, back = np.unique(split.key, return_index=True, return_inverse=True)
-        if len(self.places) > self.LIMIT:
-            older = self.places, self.buffer, self.starts, self.counts
-            self.clear()
-            self.older = older
-        wanted = keys.tolist()
-        places = [self.places.get(k, -1) for k in wanted]
-        missing = [i for i, x in enumerate(places) if x < 0]
-        if missing:
-            before, buffer, starts, counts = self.older
-            old = [before.get(wanted[i], -1) for i in missing]
-            fresh = iter(self.learn([split.word(at[i]).decode() for i, x in zip(missing, old, strict=True) if x < 0]))
-            new = [next(fresh) if x < 0 else buffer[starts[x] : starts[x] + counts[x]] for x in old]
-            for i in missing:
-                places[i] = self.places[wanted[i]] = len(self.places) + 1
-            self.buffer = np.concatenate([self.buffer, *new])
-            counts = np.array([len(x) for x in new], np.int64)
-            self.counts = np.concatenate([self.counts, counts])
-            self.starts = np.concatenate([[0], np.cumsum(self.counts)[:-1]])
+        places = self.places(split, keys, at)
         n = len(split.counts)
-        slots = np.zeros(len(back) + n, np.int64)
-        slots[np.arange(len(back)) + split.text] = np.array(places, np.int64)[back]
-        counts = self.counts[slots]
+        own = np.arange(len(back)) + split.text
+        starts, counts = np.zeros(len(back) + n, np.int64), np.ones(len(back) + n, np.int64)
+        starts[own], counts[own] = self.newer.starts[places][back], self.newer.counts[places][back]
         ends = np.cumsum(counts)
-        index = np.repeat(self.starts[slots] - (ends - counts), counts) + np.arange(int(ends[-1]) if n else 0)
-        ids = self.buffer[index].astype("<u4")
+        ids = runs(self.newer.ids, starts, counts)
         bounds = np.concatenate([[0], ends[split.first[1:] + np.arange(n)]]) if n else np.zeros(1, np.int64)
         out = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         if any(x in split.raw_bytes for x in self.added):
@@ -185,20 +253,6 @@ def encoder_for(path: str, end_id: int) -> Encoder:
     return _encoders[path, end_id]
 
 
-def _split_aligned(data: bytes, mark: bytes) -> list[bytes]:
-    """Split serialised ids at a run of ids, on id boundaries only."""
-    out, start, at = [], 0, data.find(mark)
-    while at >= 0:
-        if at % 4:
-            at = data.find(mark, at + 1)
-            continue
-        out.append(data[start:at])
-        start = at + len(mark)
-        at = data.find(mark, start)
-    out.append(data[start:])
-    return out
-
-
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
     """A trained dictionary; of too few samples, their own bytes; of none, b""."""
     samples = [s for s in samples if s]
@@ -280,7 +334,7 @@ def _shard_writer(path: str, end_id: int, dictionary: bytes, shard_bytes: int, s
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], names=["part", "seq", "first", "n_docs", "n_tokens", "payload"])
 
         for batch in batches:
-            for start, end in slices(batch.num_rows, 256):
+            for start, end in sized_slices(batch.column(1), BATCH_DOCS, BATCH_BYTES):
                 piece = batch.slice(start, end - start)
                 for doc, raw in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1)), strict=True):
                     frame = writer.compress(raw)
@@ -334,14 +388,15 @@ def write_tokens(
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(tokenizer, end_id)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(encoder.encode_all(batch.column(1)), pa.binary())], names=["piece"])
+            for start, end in sized_slices(batch.column(1), BATCH_DOCS, BATCH_BYTES):
+                yield pa.RecordBatch.from_arrays([pa.array(encoder.encode_all(batch.column(1).slice(start, end - start)), pa.binary())], names=["piece"])
 
-    dictionary = train_dictionary([bytes(r.piece) for r in sampled.mapInArrow(serialise, names).collect()], dictionary_bytes)
+    dictionary = train_dictionary([bytes(r.piece) for r in sampled.mapInArrow(lean(serialise), names).collect()], dictionary_bytes)
     spark.createDataFrame([(bytearray(dictionary), f"{dictionary_hash(dictionary):016x}")], "dictionary binary, hash string").write.mode("overwrite").parquet(f"{path}/dictionary")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_part))
     body_hash = F.xxhash64("body")
     ordered = source.repartitionByRange(parts, "doc", body_hash).sortWithinPartitions("doc", body_hash, "body")
-    ordered.mapInArrow(_shard_writer(tokenizer, end_id, dictionary, shard_bytes, shard_docs), _SHARDS).write.mode("overwrite").parquet(f"{path}/shards")
+    ordered.mapInArrow(lean(_shard_writer(tokenizer, end_id, dictionary, shard_bytes, shard_docs)), _SHARDS).write.mode("overwrite").parquet(f"{path}/shards")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> bytes:
@@ -375,4 +430,4 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     columns.append(pa.array([np.frombuffer(r, "<u4").astype(np.int64) for r in raws], pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in fields])
 
-    return shards.select("part", "first", "payload").mapInArrow(decode, ", ".join(fields))
+    return shards.select("part", "first", "payload").mapInArrow(lean(decode), ", ".join(fields))
