@@ -52,9 +52,9 @@ SHARD_DOCS = 8192
 #: A shard also ends when its ids take so many bytes before compression.
 RAW_BYTES = 32 << 20
 LEVEL = 3
-#: Documents, and bytes of their texts, that are encoded at once.
+#: Documents, and bytes of their texts, that are encoded at once: the arrays of a batch take some 60 bytes for each byte of text.
 BATCH_DOCS = 1024
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 512 << 10
 
 
 #: Fixed value: the split pattern of vocabularies whose tokens never reach over white space.
@@ -98,13 +98,13 @@ def runs(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
 class Known:
     """Ids of words by their 64-bit keys: sorted keys, and where each one's run lies in ``ids``.
 
-    Arrays take some 40 bytes a word, a fifth of what dictionaries of Python
+    Arrays take some 32 bytes a word, a sixth of what dictionaries of Python
     integers do, and a batch of keys is sought at once.  Place 0 of ``ids`` has the end id.
     """
 
     def __init__(self, end: np.ndarray):
         self.ids = end
-        self.keys, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def __len__(self) -> int:
         return len(self.keys)
@@ -129,14 +129,17 @@ class Encoder:
 
     Where ``splits_at_space`` holds, texts are cut into words and the ids of
     each word are remembered; two generations are kept, and the older one goes
-    when the newer one has LIMIT words.  Unknown words of a batch are encoded in
-    two calls: those of letters alone, one piece each, end where an id ends a
-    piece, and the others are told apart by marks whose id is known.  Other
-    tokenizers, and texts that hold the string of an added token, encode whole
-    texts.
+    when the newer one has LIMIT words or LIMIT_IDS ids.  Some LEARN_BYTES of
+    unknown words are encoded in two calls: those of letters alone, one piece
+    each, end where an id ends a piece, and the others are told apart by marks
+    whose id is known.  Other tokenizers, and texts that hold the string of an
+    added token, encode whole texts.
     """
 
     LIMIT = 500_000
+    LIMIT_IDS = 8 * LIMIT
+    #: The tokenizer takes hundreds of bytes for each byte of a text while it encodes it.
+    LEARN_BYTES = 64 << 10
     #: Bytes of a word beyond which it is encoded alone.
     LONGEST = 64
     #: A control character: as a word of its own it has one fixed id, which no other character has.
@@ -199,7 +202,7 @@ class Encoder:
 
     def places(self, split: Texts, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The places in ``newer`` of ascending *keys*, which are those of the words *at*."""
-        if len(self.newer) > self.LIMIT:
+        if len(self.newer) > self.LIMIT or len(self.newer.ids) > self.LIMIT_IDS:
             self.newer, self.older = Known(self.end), self.newer
         places = self.newer.find(keys)
         missing = np.flatnonzero(places < 0)
@@ -210,8 +213,9 @@ class Encoder:
         counts = self.older.counts[place]
         self.newer.add(keys[seen], np.cumsum(counts) - counts, counts, runs(self.older.ids, self.older.starts[place], counts))
         fresh = missing[old < 0]
-        if len(fresh):
-            self.newer.add(keys[fresh], *self.learn(split, at[fresh]))
+        upto = np.cumsum(split.end[at[fresh]] - split.start[at[fresh]])
+        for some in np.split(fresh, np.flatnonzero(np.diff(upto // self.LEARN_BYTES)) + 1) if len(fresh) else ():
+            self.newer.add(keys[some], *self.learn(split, at[some]))
         return self.newer.find(keys)
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
@@ -403,6 +407,27 @@ def read_dictionary(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
 
 
+_FIELDS = ["doc_id bigint", "start bigint", "n_tokens bigint", "ids_crc32 bigint"]
+
+
+def _shard_reader(dictionary: bytes, base: dict[int, int], with_ids: bool):
+    """Digests of shards; without the ids, one document's are held at a time."""
+    names = [f.split()[0] for f in _FIELDS] + ["ids"] * with_ids
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, first, payload in zip(*batch.columns, strict=True):
+                shard = Shard(payload.as_py(), dictionary)
+                starts = shard.starts.astype(np.int64) + first.as_py() + base[part.as_py()]
+                crcs = [zlib.crc32(shard.raw(i)) for i in range(len(shard))]
+                columns = [pa.array(shard.doc_ids, pa.int64()), pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crcs, pa.int64())]
+                if with_ids:
+                    columns.append(pa.array([shard.ids(i).astype(np.int64) for i in range(len(shard))], pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Every document in the shards under *path*: doc_id, start, n_tokens, ids_crc32.
 
@@ -417,17 +442,5 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     for row in totals.orderBy("part").collect():
         base[row.part] = before
         before += row.tokens
-    fields = ["doc_id bigint", "start bigint", "n_tokens bigint", "ids_crc32 bigint"] + ["ids array<bigint>"] * with_ids
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, first, payload in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                shard = Shard(payload, dictionary)
-                starts = shard.starts.astype(np.int64) + first + base[part]
-                raws = [shard.raw(i) for i in range(len(shard))]
-                columns = [pa.array(shard.doc_ids, pa.int64()), pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array([zlib.crc32(r) for r in raws], pa.int64())]
-                if with_ids:
-                    columns.append(pa.array([np.frombuffer(r, "<u4").astype(np.int64) for r in raws], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in fields])
-
-    return shards.select("part", "first", "payload").mapInArrow(lean(decode), ", ".join(fields))
+    fields = _FIELDS + ["ids array<bigint>"] * with_ids
+    return shards.select("part", "first", "payload").mapInArrow(lean(_shard_reader(dictionary, base, with_ids)), ", ".join(fields))

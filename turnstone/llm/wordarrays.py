@@ -23,7 +23,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
 _BYTES = seeded(77, 256)
-_SEGMENT = 1 << 20
+#: Bytes that are hashed at once; keys don't depend on it.
+_SEGMENT = 1 << 17
 _LONG = 1 << 16
 
 
